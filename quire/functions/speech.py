@@ -86,11 +86,16 @@ def _last(m: Column) -> Column:
     return number_words(F.regexp_extract(m, rf"^.*?{NUM}[^0-9]+({NUM})", 1))
 
 
+def _unit_word(m: Column) -> Column:
+    return F.try_element_at(literal_map(UNITS), F.lower(F.regexp_extract(m, r"(?iU)(cm|kg|GB|m2|m²)$", 1)))
+
+
+def _measures(c: Column) -> Column:
+    return regex_sub(c, rf"(?iU){NUM}{WS}*(?:cm|kg|GB|m2|m²)", lambda m: F.concat(_first(m), F.lit(" "), _unit_word(m)))
+
+
 def _units(c: Column) -> Column:
-    known, name = literal_map(UNITS), r"(?iU)(cm|kg|GB|m2|m²)$"
-    word = lambda m: F.try_element_at(known, F.lower(F.regexp_extract(m, name, 1)))
-    c = regex_sub(c, rf"(?iU){NUM}{WS}*(?:cm|kg|GB|m2|m²)", lambda m: F.concat(_first(m), F.lit(" "), word(m)))
-    return regex_sub(c, r"(?iU)(?<![A-Za-zÀ-ỹ])(?:cm|kg|GB|m2|m²)(?![A-Za-zÀ-ỹ])", word)
+    return regex_sub(c, r"(?iU)(?<![A-Za-zÀ-ỹ])(?:cm|kg|GB|m2|m²)(?![A-Za-zÀ-ỹ])", _unit_word)
 
 
 def _phones(c: Column) -> Column:
@@ -130,6 +135,7 @@ def rules(pronunciation: Mapping[str, str]) -> list[tuple[str, object]]:
         ("retirement plan", lambda c: F.regexp_replace(c, rf"(?iU)(?<!\w)[0-9]{{3}}{WS}*\({WS}*k{WS}*\)(?!\w)", RETIREMENT_PLAN)),
         ("slashed", slashed),
         ("fractions", _fractions),
+        ("measures", _measures),
         ("units", _units),
         ("currency rate", lambda c: regex_sub(c, period, lambda m: F.concat(number_words(F.regexp_extract(m, period, 1)), F.lit(" đô la mỗi "), F.regexp_extract(m, period, 2)))),
         ("multiple range", lambda c: regex_sub(c, rf"(?U){NUM}x{WS}*(?:–|-){WS}*{NUM}x", lambda m: F.concat(F.lit("gấp "), _first(m), F.lit(" đến "), _last(m), F.lit(" lần")))),
@@ -149,15 +155,18 @@ def with_speech_text(df, source: str, target: str, unit_type: str | None = None,
     """`df` with `target`, the speech form of `source`; unit_type names the column of heading, subtitle or paragraph.
 
     Each rule is a projection of its own: rules use their input several times, so one
-    nested expression would grow with each. Rows without the characters that a
-    rule needs still cost only its scan.
+    nested expression would grow with each. No rule writes digits, so texts that have
+    none after the headings' rules skip all rules on numbers.
     """
+    text, numeric = F.col(f"`{target}`"), f"{target} has digits"
     df = df.withColumn(target, spoken_form(F.col(f"`{source}`")))
-    for i, (_, rule) in enumerate(rules(pronunciation or {})):
-        new = rule(F.col(f"`{target}`"))
-        if i < 2:
-            if unit_type is None:
-                continue
-            new = F.when(F.col(f"`{unit_type}`").isin("heading", "title", "subtitle"), new).otherwise(F.col(f"`{target}`"))
-        df = df.withColumn(target, new)
-    return df.withColumn(target, respaced(F.col(f"`{target}`")))
+    for name, rule in rules(pronunciation or {}):
+        if name.startswith("heading"):
+            if unit_type is not None:
+                df = df.withColumn(target, F.when(F.col(f"`{unit_type}`").isin("heading", "title", "subtitle"), rule(text)).otherwise(text))
+            continue
+        if name == "ampersand":
+            df = df.withColumn(numeric, text.rlike("[0-9]"))
+        plain = name in ("ampersand", "fraction glyphs", "units", "pronunciation")
+        df = df.withColumn(target, rule(text) if plain else F.when(F.col(f"`{numeric}`"), rule(text)).otherwise(text))
+    return df.withColumn(target, respaced(text)).drop(numeric)

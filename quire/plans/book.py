@@ -77,14 +77,19 @@ def source_checks(books: DataFrame, unit_rows: DataFrame, clips: DataFrame) -> D
     return out.union(checks.violation(with_uid(books).filter("uid IS NULL"), "book metadata", "book_id"))
 
 
+def validated(spark: SparkSession, folder: str | Path, section_ids: list[str]) -> DataFrame:
+    """Violations of a package directory. Its files are parsed once and kept while the rules are looked at."""
+    files, elements = package(spark, str(folder))
+    return checks.package_violations(files.cache(), elements.cache(), section_ids)
+
+
 def build(spark: SparkSession, books: DataFrame, unit_rows: DataFrame, clips: DataFrame, audio: Mapping[str, Path], target: str | Path) -> Path:
     """The package of one book, from its units, clips, and the audio file of each section."""
     checks.assert_none(source_checks(books, unit_rows, clips))
     ids = [r[0] for r in structure.flattened(books)[0].select("section_id").distinct().collect()]  # the sections of one book
     if lacking := sorted(set(ids) - set(audio)):
         raise FileNotFoundError(f"no audio for {', '.join(lacking)}")
-    check = lambda folder: checks.package_violations(*package(spark, str(folder)), ids)
-    return publish.publish(rendered(books, unit_rows, clips), target, check, {f"{s}.mp3": Path(p) for s, p in audio.items()})
+    return publish.publish(rendered(books, unit_rows, clips), target, lambda folder: validated(spark, folder, ids), {f"{s}.mp3": Path(p) for s, p in audio.items()})
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -130,7 +135,7 @@ def main(argv: list[str] | None = None) -> int:
             checks.assert_none(checks.metadata_violations(books))
             checks.metadata_report(books).filter("NOT present").show(truncate=False)
         else:
-            wrong = checks.package_violations(*package(spark, a.source), a.sections.split(","))
+            wrong = validated(spark, a.source, a.sections.split(","))
             if a.command == "package":
                 publish.zipped(a.source, a.output, wrong)
             checks.assert_none(wrong)

@@ -93,17 +93,10 @@ def _audit(category: str, sql: str):
       FROM (SELECT *, substr(text, s + 1, e - s) AS p FROM (SELECT *, greatest(0, e - 160) AS s FROM (SELECT *, least(n, f + 160) AS e FROM (
         SELECT *, length(text) AS n, greatest(0, instr(text, token) - 1 - (160 - length(token)) // 2) AS f FROM found))))"""
     run.__name__ = f"audit_{category}"
-    return query(f"WITH found AS (SELECT DISTINCT d.doc_id, d.text, t.token FROM documents d, LATERAL (SELECT unnest({sql}) AS token) t {{where}}) {excerpt}".replace("{where}", WHERE.get(category, "")))(run)
+    return query(f"WITH found AS (SELECT DISTINCT d.doc_id, d.text, t.token FROM documents d, LATERAL (SELECT unnest({sql}) AS token) t) {excerpt}")(run)
 
 
-WHERE = {
-    "decimal": "WHERE CASE WHEN contains(token, ',') THEN length(token) - length(replace(token, ',', '')) = 1 ELSE contains(token, '.') AND NOT regexp_full_match(token, '[^.]*(\\.[^.]{3})+') END",
-}
 _audit("percent", r"regexp_extract_all(d.text, '[0-9]+(?:[.,][0-9]+)*%')")
-# a number between word boundaries: the whole word-and-separator run is taken first, so that no boundary is looked at inside it
-for _c, _p in (("currency", r"\$[0-9]+(?:[.,][0-9]+)*"),):
-    _audit(_c, f"regexp_extract_all(d.text, '{_p}')")
-_audit("unusual_symbol", "regexp_extract_all(d.text, '><|[<>]')")
 
 
 @query(
