@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents, shuffle_parts
+from quire.llm.shared import columns, documents, shuffle_parts, stored
 from quire.llm.words import utf8, word_hashes
 
 RUN = 8
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 500_000
 #: Distinct pages, and share of a group's pages, that make a run outside an article boilerplate, and a block inside.
 OUTSIDE, INSIDE = (3, 0.05), (4, 0.5)
 
@@ -216,12 +216,12 @@ def main_texts(pages: DataFrame) -> DataFrame:
     White space inside a block becomes one space; blocks are joined by one space.
     """
     parsed = page_blocks(pages)
-    # a host's groups are numbered by the sum of its characters, known before texts are dealt
+    # only hosts of several groups need their number; the table is written, so that Spark knows its size before it picks the join
     spread = columns(pages, "url", "html").select(
         F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)).alias("host"), F.length("html").alias("size")
     )
-    spread = spread.groupBy("host").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / GROUP_CHARS)).cast("int").alias("groups"))
-    rows = parsed.join(spread, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), "groups").cast("int"))
+    spread = stored(spread.groupBy("host").agg(F.ceil(F.sum("size") / GROUP_CHARS).cast("int").alias("groups")).filter("groups > 1"))
+    rows = parsed.join(spread, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int"))
     rows = rows.select("host", "part", "page_id", "url", "main", "texts").repartition(shuffle_parts(pages.sparkSession), "host", "part").sortWithinPartitions("host", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
-
+import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +25,15 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Rows written as a table in the shared checkpoint folder and read again, so that their size is known to the planner."""
+    spark = df.sparkSession
+    with_checkpoints(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shuffle_parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -38,7 +46,3 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
 def held_out(doc_id, folds: int):
     """crc32 of the id as text modulo `folds` is 1; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 1
-
-
-def first_of(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
-    return df.groupBy(*keys).agg(F.min(order).alias("first"))
