@@ -41,7 +41,7 @@ SHARE_BITS = 23
 #: A word in so many documents of a batch is sent once for the batch.
 SHARED = 24
 #: Documents of one batch at most; what a range's task gets from one batch is below this times its words.
-BATCH = 4096
+BATCH = 2048
 #: Ranges of hashes for each shuffle partition.
 RANGES_PER_PART = 1
 
@@ -111,20 +111,26 @@ def context_counts(docs: DataFrame, ranges: int) -> DataFrame:
     """(range, codes, counts): how often each context and byte came, packed by ranges of the codes' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, U64), np.zeros(0, np.int64)
+        keys, counts, pending = [np.zeros(0, U64)], [np.zeros(0, np.int64)], 0
         for b in batches:
             data, at = utf8(b["text"])
-            for lo, hi in passes(at, 8 << 20):
+            for lo, hi in passes(at):
                 s, where, _ = stream(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
                 k = codes(s, where)
                 k.sort()
                 first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-                keys, counts = _add(np.concatenate([keys, k[first]]), np.concatenate([counts, np.diff(np.append(first, len(k)))]))
-        yield _packed(_by_range(keys, counts, ranges))
+                keys.append(k[first])
+                counts.append(np.diff(np.append(first, len(k))))
+                if (pending := pending + len(first)) > PENDING:
+                    (k, c), pending = _add(np.concatenate(keys), np.concatenate(counts)), 0
+                    keys, counts = [k], [c]
+        yield _packed(_by_range(*_add(np.concatenate(keys), np.concatenate(counts)), ranges))
 
     return docs.mapInArrow(run, PACKED).repartition(ranges, "range").mapInArrow(lambda it: [_packed([(r, x.tobytes(), c.tobytes()) for r, (x, c) in _summed(it).items()])], PACKED)
 
 
+#: Codes that a task gathers before it sums them up.
+PENDING = 1 << 20
 PACKED = "range int, codes binary, counts binary"
 
 
