@@ -16,6 +16,9 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
+        # plans are many and rows few: compiling and planning again would take most of the time
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.adaptive.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
