@@ -7,14 +7,15 @@ first, drives the join:
 1. Documents with equal sets are one class. A sketch of fixed size counts all
    n-grams; the order is (sketched count, hash). A poor count can only cost time:
    any order that is the same for all documents is correct.
-2. A class's first n - ceil(0.75 n) + 1 n-grams in that order are its keys. Two
-   classes that link share a key. A key with few classes proposes all its pairs;
-   a larger one only links each class with one leader of similar size.
+2. A class's first n - ceil(0.75 n) + AGREE n-grams in that order are its keys. Two
+   classes that link share AGREE keys at least, or as many n-grams as they must have in
+   common if that is less. A key with few classes counts for all its pairs; a larger
+   one only for the pairs of each class with one leader of similar size.
 3. Pairs are verified by vertical partitioning: the global order is cut into
    fragments, the overlap of each pair is counted within each fragment
    separately, and the counts are summed per pair.
 4. Within the larger keys, the pairs between classes that are not yet connected
-   are proposed too, except those that the triangle inequality of the Jaccard
+   are counted too, except those that the triangle inequality of the Jaccard
    distance to a shared leader rules out, and are verified likewise. So no link
    between two components is lost, while copies are not expanded into all pairs.
 
@@ -25,11 +26,11 @@ once per key and input partition however many copies it has there.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +41,12 @@ from quire.llm.words import mix, shingle_sets
 U64 = np.uint64
 SHINGLE = 5
 SHARE = (75, 100)
-SKETCH_BITS = 16
+SKETCH_BITS = 20
 PIECES = 16
 #: Keys of up to so many classes propose all pairs at once.
-SMALL_KEY = 6
+SMALL_KEY = 16
+#: Keys that two classes must share to be compared.
+AGREE = 3
 #: Parts that a key with a high count is dealt to.
 HOT_PARTS = 64
 #: Classes of one key that are compared with each other in one task.
@@ -59,7 +62,12 @@ def _node(hashes: np.ndarray) -> int:
 
 def _prefix(n: int) -> int:
     """Keys of a set of n: those that link have at least ceil(0.75 n) n-grams in common with it."""
-    return n - -(-n * SHARE[0] // SHARE[1]) + 1
+    return min(n, n - -(-n * SHARE[0] // SHARE[1]) + AGREE)
+
+
+def _need(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Keys that two linked sets of these sizes share at least."""
+    return np.minimum(AGREE, -(-(na + nb) * SHARE[0] // (SHARE[0] + SHARE[1])))
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -82,7 +90,7 @@ def classes(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], ["doc_id", "n_shingles", "node", "piece", "counts"])
         if seen:
             none = pa.nulls(PIECES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(PIECES), pa.int32()), pa.array([x.tobytes() for x in np.split(sketch, PIECES)], pa.binary())], ["doc_id", "n_shingles", "node", "piece", "counts"])
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(PIECES), pa.int32()), pa.array([zlib.compress(np.minimum(x, 65535).astype(np.uint16).tobytes(), 1) for x in np.split(sketch, PIECES)], pa.binary())], ["doc_id", "n_shingles", "node", "piece", "counts"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, piece int, counts binary")
 
@@ -90,17 +98,11 @@ def classes(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 def sketch(found: DataFrame) -> np.ndarray:
     """The sketch summed over all partitions: 2 ** SKETCH_BITS counts, whatever the input's size."""
 
-    def add(t: pa.Table) -> pa.Table:
-        total = np.zeros((1 << SKETCH_BITS) // PIECES, np.uint64)
-        for x in t["counts"]:
-            total += np.frombuffer(x.as_py(), np.uint32)
-        return pa.table({"piece": t["piece"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
-
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for p, x in zip(b["piece"].to_pylist(), b["counts"], strict=True):
-                sums[p] = sums.get(p, 0) + np.frombuffer(x.as_py(), np.uint32).astype(np.uint64)
+                sums[p] = sums.get(p, 0) + np.frombuffer(zlib.decompress(x.as_py()), np.uint16).astype(np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["piece", "counts"])
 
     parts = found.filter("piece is not null").select("piece", "counts").repartition(PIECES, "piece").mapInArrow(combine, "piece int, counts binary").collect()
@@ -116,133 +118,179 @@ def _order(counts: np.ndarray) -> np.ndarray:
     return np.minimum(255, np.floor(np.log2(counts.astype(np.float64) + 1) * 8)).astype(np.uint8)
 
 
+#: A key's row is packed: n in the upper bits, then pos, then the part in PART_BITS.
+PART_BITS, POS_BITS = 7, 28
+
+
 def keys(docs: DataFrame, counts: np.ndarray, k: int = SHINGLE) -> DataFrame:
-    """(key, part, node, n, pos): each class's first n-grams in the global order."""
+    """(key, node, meta): each class's first n-grams in the global order; meta packs its size, the place and the part."""
     rank, mean = _order(counts), float(counts.mean())
     hot = counts > 4 * mean + 256
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        out: tuple[list, list, list] = ([], [], [])
+        rows = 0
         for b in batches:
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-
-            def flush():
-                cols = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
-                for c in out:
-                    c.clear()
-                return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1].astype(np.int32)), pa.array(cols[2], pa.int64()), pa.array(cols[3].astype(np.int32)), pa.array(cols[4].astype(np.int32))], ["key", "part", "node", "n", "pos"])
-
-            rows = 0
             for s in shingle_sets(b["text"], k):
                 if not len(s) or (node := _node(s)) in seen:
                     continue
                 seen.add(node)
                 n, slot = len(s), _slot(s)
                 first = np.argsort(rank[slot], kind="stable")[: _prefix(n)]
-                own = int(mix(np.array([node], np.int64).view(U64))[0] % U64(HOT_PARTS))
+                own = 1 + int(mix(np.array([node], np.int64).view(U64))[0] % U64(HOT_PARTS))
                 out[0].append(s[first].view(np.int64))
-                out[1].append(np.where(hot[slot[first]], own, 0))
-                out[2].append(np.full(len(first), node))
-                out[3].append(np.full(len(first), n))
-                out[4].append(np.arange(len(first)))
+                out[1].append(np.full(len(first), node))
+                out[2].append((np.int64(n) << (PART_BITS + POS_BITS)) | (np.arange(len(first)) << PART_BITS) | np.where(hot[slot[first]], own, 0))
                 if (rows := rows + len(first)) > 200_000:
-                    yield flush()
+                    yield _three(out, ["key", "node", "meta"])
                     rows = 0
-            yield flush()
+        yield _three(out, ["key", "node", "meta"])
+
+    return docs.mapInArrow(run, "key long, node long, meta long")
+
 
-    return docs.mapInArrow(run, "key long, part int, node long, n int, pos int")
+def _three(out, names) -> pa.RecordBatch:
+    cols = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
+    for c in out:
+        c.clear()
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
 
-def _fits(na, nb, pa_, pb) -> np.ndarray:
-    """Sizes and places of a shared key still allow 100 * intersection >= 75 * union."""
+def _fits(na, nb, pa_, pb, room=None) -> np.ndarray:
+    """Sizes and places of a shared key, and what both have in common with others at most, still allow 100 * intersection >= 75 * union."""
     small, large = np.minimum(na, nb), np.maximum(na, nb)
     most = np.minimum(small, np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb))
+    if room is not None:
+        most = np.minimum(most, room)
     return (SHARE[1] * small >= SHARE[0] * large) & (SHARE[1] * most >= SHARE[0] * (na + nb - most))
 
 
-def _leaders(key: np.ndarray, node: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """For rows sorted by (key, n): the row of the leader in each row's band of sizes."""
-    new = np.concatenate(([True], key[1:] != key[:-1]))
+def _leaders(group: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """For rows sorted by (group, n): the row of the leader in each row's band of sizes.
+
+    The one with the fewest rarer n-grams leads: of near copies that is the one closest to all.
+    """
+    new = np.concatenate(([True], group[1:] != group[:-1]))
     band = np.floor(np.log(n) / np.log(SHARE[1] / SHARE[0])).astype(np.int64)
     new |= np.concatenate(([True], band[1:] != band[:-1]))
-    group = np.cumsum(new) - 1
-    rank = mix(node.view(U64))
-    by = np.lexsort((rank, group))
-    first = by[np.concatenate(([True], group[by][1:] != group[by][:-1]))]
-    return first[group]
+    number = np.cumsum(new) - 1
+    by = np.lexsort((mix(node.view(U64)), pos, number))
+    first = by[np.concatenate(([True], number[by][1:] != number[by][:-1]))]
+    return first[number]
 
 
 def _read(batches, names):
-    table = pa.Table.from_batches(list(batches)) if not isinstance(batches, list) else pa.Table.from_batches(batches)
+    table = pa.Table.from_batches(batches)
     return [table[c].to_numpy() for c in names]
 
 
+def _counted(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs, lesser node first, how often each came, and what it needs."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    by = np.lexsort((b, a))
+    a, b, need = a[by], b[by], need[by]
+    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
+    return a[first], b[first], np.diff(np.append(first, len(a))), need[first]
+
+
+PROPOSED = "kind int, key long, node long, n int, pos int, other long"
+
+
 def propose(found: DataFrame) -> DataFrame:
-    """(kind, key, node, n, pos, other): 0 pairs (node, other), 1 rows of larger keys, 2 leaders of dealt-out keys."""
+    """(kind, key, node, n, pos, other), by kind.
+
+    0: the pair (node, other) shares n small keys and needs pos; 3: the same for the keys that one of both leads;
+    1: rows of larger keys; 2: leaders of dealt-out keys; 4: the node may share pos keys with others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(batches)
         if not sum(b.num_rows for b in batches):
             return
-        key, part, node, n, pos = _read(batches, ["key", "part", "node", "n", "pos"])
+        key, node, meta = _read(batches, ["key", "node", "meta"])
         del batches
+        part, pos, n = meta & ((1 << PART_BITS) - 1), (meta >> PART_BITS) & ((1 << POS_BITS) - 1), meta >> (PART_BITS + POS_BITS)
         by = np.lexsort((node, n, part, key))
         key, part, node, n, pos = (x[by] for x in (key, part, node, n, pos))
-        twin = np.concatenate(([False], (key[1:] == key[:-1]) & (part[1:] == part[:-1]) & (node[1:] == node[:-1])))
-        key, part, node, n, pos = (x[~twin] for x in (key, part, node, n, pos))
+        same = (key[1:] == key[:-1]) & (part[1:] == part[:-1])
+        keep = np.concatenate(([True], ~(same & (node[1:] == node[:-1]))))
+        # a key that one class has alone is done with, unless it is dealt out
+        keep &= np.concatenate(([False], same)) | np.concatenate((same, [False])) | (part > 0)
+        key, part, node, n, pos = (x[keep] for x in (key, part, node, n, pos))
+        if not len(key):
+            return
         new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
         size = np.diff(np.append(new, len(key)))
-        # a dealt-out key may have few rows here and many elsewhere
-        dealt = np.repeat(part[new] > 0, size) | np.isin(key, np.unique(key[part > 0]))
-        m = np.repeat(size, size)
+        m, at = np.repeat(size, size), np.arange(len(key)) - np.repeat(new, size)
+        who, times = np.unique(node, return_counts=True)
+        for lo in range(0, len(who), 100_000):
+            yield _batch(4, None, who[lo : lo + 100_000], None, times[lo : lo + 100_000], None)
+        rows = np.flatnonzero((m > 1) & (m <= SMALL_KEY) & (part == 0))
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        rows = np.flatnonzero((m > 1) & (m <= SMALL_KEY) & ~dealt)
-        at = np.arange(len(key)) - np.repeat(new, size)
         for d in range(1, SMALL_KEY):
             i = rows[at[rows] + d < m[rows]]
             i = i[_fits(n[i], n[i + d], pos[i], pos[i + d])]
-            a.append(node[i])
-            b.append(node[i + d])
-        big = np.flatnonzero((m > SMALL_KEY) | dealt)
-        lead_rows = np.zeros(0, np.int64)
+            a.append(i)
+            b.append(i + d)
+        a, b = np.concatenate(a), np.concatenate(b)
+        yield from _pairs(0, *_counted(node[a], node[b], _need(n[a], n[b])))
+        big = np.flatnonzero((m > SMALL_KEY) | (part > 0))
         if len(big):
-            lead = big[_leaders(key[big] ^ (part[big].astype(np.int64) << 40), node[big], n[big])]
-            differ = node[lead] != node[big]
-            a.append(node[lead][differ])
-            b.append(node[big][differ])
-            lead_rows = np.unique(lead[dealt[big]])
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-        for lo in range(0, len(pairs), 100_000):
-            yield _batch(0, None, pairs[lo : lo + 100_000, 0], None, None, pairs[lo : lo + 100_000, 1])
-        for kind, rows in ((1, big), (2, lead_rows)):
-            for lo in range(0, len(rows), 100_000):
-                r = rows[lo : lo + 100_000]
-                yield _batch(kind, key[r], node[r], n[r], pos[r], None)
-
-    return found.repartition(shuffle_parts(found.sparkSession), "key", "part").mapInArrow(run, "kind int, key long, node long, n int, pos int, other long")
+            group = np.repeat(new, size)[big]
+            lead = big[_leaders(group, node[big], n[big], pos[big])]
+            # leaders of neighbouring bands are linked too, so that a group across a border is one
+            step = np.flatnonzero((lead[1:] != lead[:-1]) & (group[1:] == group[:-1]))
+            one, two = np.concatenate([lead, lead[step]]), np.concatenate([big, lead[step + 1]])
+            apart = (node[one] != node[two]) & (part[one] == 0)
+            one, two = one[apart], two[apart]
+            yield from _pairs(3, *_counted(node[one], node[two], _need(n[one], n[two])))
+            for kind, rows in ((1, big), (2, np.unique(lead[part[big] > 0]))):
+                for lo in range(0, len(rows), 100_000):
+                    r = rows[lo : lo + 100_000]
+                    yield _batch(kind, key[r], node[r], n[r], pos[r], None)
+
+    parts = shuffle_parts(found.sparkSession)
+    return found.repartition(parts, "key", F.expr(f"meta & {(1 << PART_BITS) - 1}")).mapInArrow(run, PROPOSED)
+
+
+def _pairs(kind: int, a, b, count, need) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(a), 100_000):
+        s = slice(lo, lo + 100_000)
+        yield _batch(kind, None, a[s], count[s], need[s], b[s])
 
 
 def _batch(kind, key, node, n, pos, other) -> pa.RecordBatch:
     size = len(node)
-    col = lambda x, t: pa.nulls(size, t) if x is None else pa.array(x, t)
+    col = lambda x, t: pa.nulls(size, t) if x is None else pa.array(x).cast(t)
     return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), col(key, pa.int64()), col(node, pa.int64()), col(n, pa.int32()), col(pos, pa.int32()), col(other, pa.int64())], ["kind", "key", "node", "n", "pos", "other"])
 
 
-def _between_leaders(found: DataFrame) -> DataFrame:
-    """Pairs that link the leaders of a dealt-out key's parts with one of them for each band of sizes."""
+def _led(proposed: DataFrame) -> DataFrame:
+    """(a, b, n, need): classes of dealt-out keys with the one leader of their key and band of sizes.
+
+    The leaders of the parts elect it, so there is one row for each key and band to join with.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(batches)
         if not sum(b.num_rows for b in batches):
             return
-        key, node, n = _read(batches, ["key", "node", "n"])
+        key, node, n, pos = _read(batches, ["key", "node", "n", "pos"])
         by = np.lexsort((node, n, key))
-        key, node, n = key[by], node[by], n[by]
-        lead = _leaders(key, node, n)
-        pairs = np.unique(np.stack([node[lead], node], 1)[node[lead] != node], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        key, node, n, pos = key[by], node[by], n[by], pos[by]
+        lead = np.unique(_leaders(key, node, n, pos))
+        yield pa.RecordBatch.from_arrays([pa.array(key[lead]), pa.array(node[lead]), pa.array(n[lead]).cast(pa.int32())], ["key", "a", "n_a"])
 
-    return found.select("key", "node", "n").repartition(shuffle_parts(found.sparkSession), "key").mapInArrow(run, "a long, b long")
+    band = lambda n: F.floor(F.log(n) / np.log(SHARE[1] / SHARE[0]))
+    leaders = proposed.filter("kind = 2").select("key", "node", "n", "pos").repartition(shuffle_parts(proposed.sparkSession), "key").mapInArrow(run, "key long, a long, n_a int")
+    leaders = leaders.withColumn("band", band(F.col("n_a")))
+    rows = proposed.filter("kind = 1").select("key", F.col("node").alias("b"), F.col("n").alias("n_b")).withColumn("band", band(F.col("n_b")))
+    # a leader is compared with the next larger band too, so that a group across a border is one
+    wide = leaders.union(leaders.withColumn("band", F.col("band") + 1))
+    need = F.least(F.lit(AGREE), F.ceil((F.col("n_a") + F.col("n_b")) * SHARE[0] / (SHARE[0] + SHARE[1])))
+    pairs = rows.join(wide, ["key", "band"]).filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), need.cast("long").alias("need"))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need").alias("need"))
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -331,19 +379,22 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     dealt = a.union(b).repartition(shuffle_parts(pairs.sparkSession), "a", "part", "fragment").sortWithinPartitions("a", "part", "fragment", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, n_a = None, 0
+        held, mine, n_a = None, None, 0
         for batch in batches:
             out = []
-            for a, b, n, x in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), batch["n"].to_pylist(), batch["hashes"], strict=True):
+            for a, part, f, b, n, x in zip(*(batch[c].to_pylist() for c in ("a", "part", "fragment", "b", "n")), batch["hashes"], strict=True):
                 x = np.frombuffer(x.as_buffer(), U64)
                 if b is None:
-                    mine, n_a = x, n
-                elif len(mine) and len(x):
+                    held, mine, n_a = (a, part, f), x, n
+                    continue
+                if held != (a, part, f):
+                    raise RuntimeError(f"no set of {a} to compare with")
+                both = 0
+                if len(mine) and len(x):
                     at = np.searchsorted(mine, x)
                     at[at == len(mine)] = 0
-                    out.append((a, b, int((mine[at] == x).sum()), n_a, n))
-                else:
-                    out.append((a, b, 0, n_a, n))
+                    both = int((mine[at] == x).sum())
+                out.append((a, b, both, n_a, n))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)], ["a", "b", "both", "n_a", "n_b"])
 
     counted = dealt.mapInArrow(run, "a long, b long, both long, n_a long, n_b long")
@@ -354,12 +405,17 @@ def _linked(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("both") * SHARE[1] >= (F.col("n_a") + F.col("n_b") - F.col("both")) * SHARE[0]).select("a", "b")
 
 
-def _across(rest: DataFrame, parts: DataFrame, scored: DataFrame) -> DataFrame:
-    """Pairs of one key in different components that the distances to a shared leader don't rule out."""
-    leader = scored.select(F.col("b").alias("node"), F.struct((1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("away"), F.col("a").alias("leader")).alias("r"))
-    leader = leader.union(scored.select(F.col("a").alias("node"), F.struct(F.lit(0.0).alias("away"), F.col("a").alias("leader")).alias("r")))
+def _across(proposed: DataFrame, parts: DataFrame, scored: DataFrame, small: DataFrame) -> DataFrame:
+    """Pairs in different components that share enough keys, larger ones too, and that the distances to a shared leader don't rule out."""
+    leader = scored.select(F.col("b").alias("node"), F.struct((1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("away"), F.col("a").alias("leader"), "both").alias("r"))
+    leader = leader.union(scored.select(F.col("a").alias("node"), F.struct(F.lit(0.0).alias("away"), F.col("a").alias("leader"), F.col("n_a").alias("both")).alias("r")))
     # one leader for each node, the same for as many nodes as possible: the one of least hash
-    ref = leader.groupBy("node").agg(F.min(F.struct(F.xxhash64("r.leader"), "r.leader", "r.away")).alias("r")).select("node", "r.leader", "r.away")
+    ref = leader.groupBy("node").agg(F.min(F.struct(F.xxhash64("r.leader"), "r.leader", "r.away", "r.both")).alias("r")).select("node", "r.leader", "r.away", F.col("r.both").alias("of_leader"))
+    # the keys that a set shares with no other are in common with none
+    shared = proposed.filter("kind = 4").groupBy("node").agg(F.sum("pos").cast("int").alias("shared"))
+    rest = proposed.filter("kind = 1").select("key", "node", "n", "pos").join(shared, "node")
+    prefix = F.expr(f"least(n, n - (n * {SHARE[0]} + {SHARE[1] - 1}) div {SHARE[1]} + {AGREE})")
+    rest = rest.withColumn("room", (F.col("n") - prefix + F.col("shared")).cast("int"))
     rest = rest.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rest.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key", "m")
     tiles = F.ceil(F.col("m") / TILE).cast("int")
@@ -385,25 +441,32 @@ def _across(rest: DataFrame, parts: DataFrame, scored: DataFrame) -> DataFrame:
         if not held:
             return
         t = pa.concat_tables(held)
-        node, n, pos, comp, tile = (t[c].to_numpy() for c in ("node", "n", "pos", "component", "tile"))
-        lead, away = t["leader"].fill_null(0).to_numpy(), t["away"].fill_null(0.0).to_numpy()
+        node, n, pos, comp, tile, room = (t[c].to_numpy() for c in ("node", "n", "pos", "component", "tile", "room"))
+        lead, away, mine = t["leader"].fill_null(0).to_numpy(), t["away"].fill_null(0.0).to_numpy(), t["of_leader"].fill_null(0).to_numpy()
         lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
         left, right = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
         out = []
         for i in left:
             j = right if lo != hi else right[node[right] > node[i]]
             j = j[comp[j] != comp[i]]
-            j = j[_fits(n[i], n[j], pos[i], pos[j])]
+            # with a shared leader: what both have of it, and what both may share besides
+            besides = np.minimum(mine[i], mine[j]) + np.minimum(room[i] - mine[i], room[j] - mine[j])
+            most = np.where((lead[j] == lead[i]) & (lead[i] != 0), np.minimum(besides, np.minimum(room[i], room[j])), np.minimum(room[i], room[j]))
+            j = j[_fits(n[i], n[j], pos[i], pos[j], most)]
             far = (lead[j] == lead[i]) & (lead[i] != 0) & (np.abs(away[j] - away[i]) > 0.25 + 1e-9)
             j = j[~far]
-            out.append(np.stack([np.full(len(j), node[i]), node[j]], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        for at in range(0, len(pairs), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*pairs[at : at + 100_000].T)), pa.array(np.maximum(*pairs[at : at + 100_000].T))], ["a", "b"])
+            out.append(np.stack([np.full(len(j), i), j], 1))
+        i, j = np.concatenate(out).T if out else np.zeros((2, 0), np.int64)
+        a, b, count, need = _counted(node[i], node[j], _need(n[i], n[j]))
+        for at in range(0, len(a), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]).cast(pa.int64()) for x in (a, b, count, need)], ["a", "b", "n", "need"])
 
-    rows = rows.select("key", "lo", "hi", "tile", "node", "n", "pos", "component", "leader", "away")
-    dealt = rows.repartition(shuffle_parts(rest.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    rows = rows.select("key", "lo", "hi", "tile", "node", "n", "pos", "room", "component", "leader", "away", "of_leader")
+    dealt = rows.repartition(shuffle_parts(proposed.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    found = dealt.mapInArrow(run, "a long, b long, n long, need long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    found = found.join(small.select("a", "b", "small"), ["a", "b"], "left").filter(F.col("n") + F.coalesce("small", F.lit(0)) >= F.col("need"))
+    done = scored.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return found.select("a", "b").join(done, ["a", "b"], "left_anti")
 
 
 def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -421,16 +484,20 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     own = found.filter("piece is null").select("doc_id", "n_shingles", "node")
     counts = sketch(found)
     proposed = kept(propose(keys(docs, counts, k)))
-    pairs = proposed.filter("kind = 0").select(F.col("node").alias("a"), F.col("other").alias("b"))
-    pairs = pairs.union(_between_leaders(proposed.filter("kind = 2"))).filter("a != b")
-    pairs = kept(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = proposed.filter("kind IN (0, 3)").select(F.col("node").alias("a"), F.col("other").alias("b"), F.when(F.col("kind") == 0, F.col("n")).otherwise(0).alias("small"), F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("need"))
+    pairs = pairs.unionByName(_led(proposed).withColumn("small", F.lit(0)))
+    pairs = kept(pairs.groupBy("a", "b").agg(F.sum("small").alias("small"), F.sum("n").alias("n"), F.max("need").alias("need")))
+    small = pairs.filter("small > 0")
+    pairs = pairs.filter("n >= need").select("a", "b")
     nodes = kept(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     sets = kept(sets_of(docs, nodes, k))
     scored = kept(verify(pairs, sets))
     links = _linked(scored)
     parts = connected_components(links)
-    more = kept(_across(proposed.filter("kind = 1").select("key", "node", "n", "pos"), parts, scored))
+    more = kept(_across(proposed, parts, scored, small))
     if not more.isEmpty():
+        late = more.select(F.col("a").alias("node")).union(more.select("b")).distinct().join(nodes, "node", "left_anti")
+        sets = sets.union(kept(sets_of(docs, kept(late), k)))
         links = links.union(_linked(verify(more, sets)))
         parts = connected_components(links)
     own_node = own.filter("node is not null")

@@ -203,7 +203,14 @@ def labelled(rows) -> tuple[np.ndarray, np.ndarray]:
     return x, y
 
 
-_trained: dict[tuple, Tagger] = {}
+class _OfProcess(dict):
+    """What each process trains for itself: pickled with a function, it arrives empty."""
+
+    def __reduce__(self):
+        return _OfProcess, ()
+
+
+_trained = _OfProcess()
 
 
 def train(n: int = 3000, rounds: int = 12, batch: int = 150, rate: float = 0.02, seed: int = 7) -> Tagger:

@@ -36,7 +36,16 @@ LOWER_CODE = BYTE_CODE[LOWER]
 BASE = 0x5851F42D4C957F2D
 BASE_INV = pow(BASE, -1, 1 << 64)
 STEPS = mix(np.arange(1001, 1001 + 64, dtype=U64)) | U64(1)
-_powers: dict[str, np.ndarray] = {}
+
+
+class _OfProcess(dict):
+    """Tables that each process makes for itself: pickled with a function, it arrives empty."""
+
+    def __reduce__(self):
+        return _OfProcess, ()
+
+
+_powers = _OfProcess()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
