@@ -70,6 +70,15 @@ def _need(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     return np.minimum(AGREE, -(-(na + nb) * SHARE[0] // (SHARE[0] + SHARE[1])))
 
 
+def _need_all(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Keys that two linked sets share at least, when all their shared keys are counted.
+
+    What they have in common beyond keys lies behind the keys of the one whose keys end first.
+    """
+    most = lambda n: n - np.minimum(n, n - -(-n * SHARE[0] // SHARE[1]) + AGREE)
+    return np.maximum(1, -(-(na + nb) * SHARE[0] // (SHARE[0] + SHARE[1])) - np.maximum(most(na), most(nb)))
+
+
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> U64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -417,29 +426,41 @@ def _across(proposed: DataFrame, parts: DataFrame, scored: DataFrame, small: Dat
     prefix = F.expr(f"least(n, n - (n * {SHARE[0]} + {SHARE[1] - 1}) div {SHARE[1]} + {AGREE})")
     rest = rest.withColumn("room", (F.col("n") - prefix + F.col("shared")).cast("int"))
     rest = rest.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rest.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key", "m")
-    tiles = F.ceil(F.col("m") / TILE).cast("int")
-    rows = rest.join(mixed, "key").join(ref, "node", "left").withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
+    rest = rest.join(ref, "node", "left")
+    # keys of one group of copies are compared in the same tasks, where each pair is put out once with its count
+    mixed = rest.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.coalesce(F.min("leader"), F.col("key")).alias("unit")).filter("lo != hi").select("key", "m", "unit")
+    tiles = mixed.groupBy("unit").agg(F.ceil(F.max("m") / TILE).cast("int").alias("tiles"))
+    rows = rest.join(mixed.join(tiles, "unit"), "key").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("lo", F.least("tile", "with")).withColumn("hi", F.greatest("tile", "with"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held = None, []
+        group, held, found = None, [], []
         for b in batches:
             t = pa.Table.from_batches([b])
-            g = np.stack([t[c].to_numpy() for c in ("key", "lo", "hi")], 1)
+            g = np.stack([t[c].to_numpy() for c in ("unit", "lo", "hi", "key")], 1)
             cuts = np.flatnonzero(np.any(g[1:] != g[:-1], axis=1)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(g)], strict=True):
                 if lo == hi:
                     continue
                 if (mine := tuple(g[lo])) != group:
-                    yield from compare(held)
+                    found += compare(held)
+                    if group is not None and mine[:3] != group[:3]:
+                        yield from put(found)
+                        found = []
                     group, held = mine, []
                 held.append(t.slice(lo, hi - lo))
-        yield from compare(held)
+        yield from put(found + compare(held))
+
+    def put(found):
+        if found:
+            a, b, need = (np.concatenate(x) for x in zip(*found, strict=True))
+            a, b, count, need = _counted(a, b, need)
+            for at in range(0, len(a), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]).cast(pa.int64()) for x in (a, b, count, need)], ["a", "b", "n", "need"])
 
     def compare(held):
         if not held:
-            return
+            return []
         t = pa.concat_tables(held)
         node, n, pos, comp, tile, room = (t[c].to_numpy() for c in ("node", "n", "pos", "component", "tile", "room"))
         lead, away, mine = t["leader"].fill_null(0).to_numpy(), t["away"].fill_null(0.0).to_numpy(), t["of_leader"].fill_null(0).to_numpy()
@@ -457,12 +478,10 @@ def _across(proposed: DataFrame, parts: DataFrame, scored: DataFrame, small: Dat
             j = j[~far]
             out.append(np.stack([np.full(len(j), i), j], 1))
         i, j = np.concatenate(out).T if out else np.zeros((2, 0), np.int64)
-        a, b, count, need = _counted(node[i], node[j], _need(n[i], n[j]))
-        for at in range(0, len(a), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]).cast(pa.int64()) for x in (a, b, count, need)], ["a", "b", "n", "need"])
+        return [(node[i], node[j], _need_all(n[i], n[j]))]
 
-    rows = rows.select("key", "lo", "hi", "tile", "node", "n", "pos", "room", "component", "leader", "away", "of_leader")
-    dealt = rows.repartition(shuffle_parts(proposed.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    rows = rows.select("unit", "key", "lo", "hi", "tile", "node", "n", "pos", "room", "component", "leader", "away", "of_leader")
+    dealt = rows.repartition(shuffle_parts(proposed.sparkSession), "unit", "lo", "hi").sortWithinPartitions("unit", "lo", "hi", "key")
     found = dealt.mapInArrow(run, "a long, b long, n long, need long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
     found = found.join(small.select("a", "b", "small"), ["a", "b"], "left").filter(F.col("n") + F.coalesce("small", F.lit(0)) >= F.col("need"))
     done = scored.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
