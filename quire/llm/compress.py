@@ -7,9 +7,11 @@ by the next shorter context, from which all bytes of the longer one are excluded
 trie gives the code length of each document; `adaptive` codes one text by what came
 before in it.
 
-The trie keeps those continuations of contexts that make up at least a fixed share of
-all training bytes, so each order has at most 2 ** SHARE_BITS of them however large
-the corpus is. All counts are taken over the whole corpus before that.
+The trie holds all contexts, so it grows with the corpus and stays where it is counted:
+dealt out by its contexts of NEAR bytes, so that a context and all that escapes from it
+reach down to NEAR bytes lie in one range. Only the contexts below that, of at most
+256 ** (NEAR - 1) kinds, are summed up on the driver and sent to every range. Batches of
+documents send their distinct contexts to the ranges and get a probability for each.
 
 Word counts for the unigram base need every document's words and all counts of the
 corpus to meet. Batches of documents send their distinct (word, document) pairs,
@@ -21,6 +23,7 @@ batch share is sent once with its count, so no frequent word fills a task.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,11 +40,14 @@ U64 = np.uint64
 FOLDS = 5
 ORDER = 5
 END = 0x0A
-SHARE_BITS = 23
+#: Contexts of so many bytes decide the range of all longer ones.
+NEAR = 3
 #: A word in so many documents of a batch is sent once for the batch.
 SHARED = 24
 #: Documents of one batch at most; what a range's task gets from one batch is below this times its words.
 BATCH = 2048
+#: Bytes of one batch's texts at most, or one text.
+BATCH_BYTES = 16 << 20
 #: Ranges of hashes for each shuffle partition.
 RANGES_PER_PART = 1
 
@@ -92,8 +98,13 @@ def _range(keys: np.ndarray, ranges: int) -> np.ndarray:
     return ((keys * U64(0x9E3779B97F4A7C15)) >> U64(33)).astype(np.int64) % ranges
 
 
+def _near(keys: np.ndarray) -> np.ndarray:
+    """The NEAR bytes before the symbol of each code."""
+    return (keys >> U64(8)) & U64((1 << 8 * NEAR) - 1)
+
+
 def _by_range(keys: np.ndarray, counts: np.ndarray, ranges: int) -> list[tuple[int, bytes, bytes]]:
-    r = _range(keys, ranges)
+    r = _range(_near(keys), ranges)
     by = np.argsort(r, kind="stable")
     cut = np.searchsorted(r[by], np.arange(1, ranges))
     return [(i, k.tobytes(), c.tobytes()) for i, (k, c) in enumerate(zip(np.split(keys[by], cut), np.split(counts[by].astype(np.int64), cut), strict=True)) if len(k)]
@@ -108,7 +119,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> dict[int, tuple[np.ndarray, np
 
 
 def context_counts(docs: DataFrame, ranges: int) -> DataFrame:
-    """(range, codes, counts): how often each context and byte came, packed by ranges of the codes' hashes."""
+    """(range, codes, counts): how often each context and byte came, packed by ranges of the hashes of their nearest bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, pending = [np.zeros(0, U64)], [np.zeros(0, np.int64)], 0
@@ -155,7 +166,7 @@ class Trie:
     """The counts of contexts and the log10 probabilities that they give."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        """levels: sorted codes and counts for contexts of 0 to ORDER bytes; maybe only frequent ones."""
+        """levels: sorted codes and counts for contexts of 0 to ORDER bytes; from NEAR on maybe only those of one range."""
         self.levels = levels
         self.contexts = []  # for each order: contexts, bytes seen in them, distinct ones, and both for the next order's exclusion
         for k in range(ORDER + 1):
@@ -243,24 +254,26 @@ class Trie:
         return out
 
 
-def pretrained(docs: DataFrame) -> Trie:
-    """The trie of all texts of `docs`; its size is bounded, so it is built on the driver."""
-    ranges = shuffle_parts(docs.sparkSession)
-    counts = context_counts(docs, ranges)
-    levels: list = [None] * (ORDER + 1)
-    # each order sums the one above; below three bytes the driver can do that
-    for k in range(ORDER, 2, -1):
-        counts = kept(counts)
-        if k == ORDER:
-            total = counts.mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([sum(int(c.sum()) for _, _, c in _unpacked(b))])], ["n"]) for b in it), "n long").agg(F.sum("n")).first()[0] or 0
-            least = max(1, total >> SHARE_BITS)
-        levels[k] = _gathered(counts.mapInArrow(lambda it, least=least: (_packed([(r, x[c >= least].tobytes(), c[c >= least].tobytes()) for r, x, c in _unpacked(b)]) for b in it), PACKED))
-        if k > 3:
-            counts = counts.mapInArrow(lambda it, k=k: (_packed(_by_range(*_add(x & U64((1 << 8 * k) - 1), c), ranges)) for b in it for _, x, c in _unpacked(b)), PACKED).repartition(ranges, "range").mapInArrow(lambda it: [_packed([(r, x.tobytes(), c.tobytes()) for r, (x, c) in _summed(it).items()])], PACKED)
-    for k in range(2, -1, -1):
-        keys, n = levels[k + 1]
-        levels[k] = _add(keys & U64((1 << 8 * (k + 1)) - 1), n)
-    return Trie(levels)
+def _shorter(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    return _add(keys & U64((1 << 8 * (order + 1)) - 1), counts)
+
+
+def nearest(counts: DataFrame, ranges: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The levels below NEAR of all counts: their size is bounded by the kinds of bytes, not by the corpus."""
+    low = counts.mapInArrow(lambda it: (_packed(_by_range(*_shorter(x, c, NEAR - 1), ranges)) for b in it for _, x, c in _unpacked(b)), PACKED)
+    low = low.repartition(ranges, "range").mapInArrow(lambda it: [_packed([(r, x.tobytes(), c.tobytes()) for r, (x, c) in _summed(it).items()])], PACKED)
+    levels = [_gathered(low)]
+    for k in range(NEAR - 2, -1, -1):
+        levels.insert(0, _shorter(*levels[0], k))
+    return levels
+
+
+def of_range(low: list[tuple[np.ndarray, np.ndarray]], keys: np.ndarray, counts: np.ndarray) -> Trie:
+    """The trie of one range's codes, whole for all contexts that have its nearest bytes."""
+    levels = [_add(keys, counts)]
+    for k in range(ORDER - 1, NEAR - 1, -1):
+        levels.insert(0, _shorter(*levels[0], k))
+    return Trie([*low, *levels])
 
 
 def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -294,30 +307,76 @@ def adaptive(text: str) -> float:
     return total
 
 
-SENT = "batch long, range int, docs long, words binary, row binary, times binary, shared binary, shared_count binary"
+def _squeezed(codes: np.ndarray) -> bytes:
+    """Sorted codes as the bytes of their differences, equal places together."""
+    return zlib.compress(np.diff(codes, prepend=U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _expanded(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(raw.T).view(U64).ravel(), dtype=U64)
+
+
+def _dealt(found: list[np.ndarray], ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, sorted within ranges, and the place where each range begins."""
+    keys = _distinct(np.concatenate([np.zeros(0, U64), *found]))
+    r = _range(_near(keys), ranges).astype(np.uint16 if ranges <= 1 << 16 else np.int64)
+    by = np.argsort(r, kind="stable")
+    return keys[by], np.searchsorted(r[by], np.arange(ranges + 1))
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
 
 
-def _sent(docs: DataFrame, trie: Trie, ranges: int) -> DataFrame:
-    """Rows of each batch: one with range -1 holds what stays with the batch, the others its words by range of hash."""
+def _scored(text: bytes, at: np.ndarray, ranges: int, values: np.ndarray) -> np.ndarray:
+    """log10 probabilities of a batch's texts from those of its distinct codes, in their order."""
+    data, out, held = np.frombuffer(text, np.uint8), np.zeros(len(at) - 1), []
+    for lo, hi in passes(at):
+        s, where, row = stream(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
+        # a code has 48 bits and a batch fewer than 2 ** 16 rows
+        both = np.sort((codes(s, where) << U64(16)) | row.astype(U64))
+        k, row = both >> U64(16), (both & U64(0xFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        held.append((lo, hi, k[first], np.diff(np.append(first, len(k))), row))
+    keys, _ = _dealt([x[2] for x in held], ranges)
+    if len(keys) != len(values):
+        raise RuntimeError(f"{len(values)} probabilities for {len(keys)} codes")
+    by = np.argsort(keys)
+    keys, values = keys[by], values[by].astype(np.float64)
+    for lo, hi, k, times, row in held:
+        out[lo:hi] = np.bincount(row, np.repeat(values[np.searchsorted(keys, k)], times), hi - lo)
+    return out
+
+
+SENT = "batch long, range int, docs long, words binary, row binary, times binary, shared binary, shared_count binary, codes binary, text binary"
+
+
+def _sent(docs: DataFrame, ranges: int) -> DataFrame:
+    """Rows of each batch: one with range -1 holds what stays with the batch, the others its words and codes by range of hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
         for whole in batches:
             for lo in range(0, whole.num_rows, BATCH):
-                yield one(whole.slice(lo, BATCH), (task << 32) + n)
-                n += 1
+                part = whole.slice(lo, BATCH)
+                # a batch's texts stay together, so long ones make smaller batches
+                for first, last in passes(utf8(part["text"])[1], BATCH_BYTES):
+                    yield one(part.slice(first, last - first), (task << 32) + n)
+                    n += 1
 
     def one(b: pa.RecordBatch, number: int) -> pa.RecordBatch:
         data, at = utf8(b["text"])
         train = ~b["held_out"].to_numpy(zero_copy_only=False)
-        n_tokens, score = np.ones(b.num_rows, np.int64), np.zeros(b.num_rows)
-        h_all, row_all, times_all = [], [], []
+        n_tokens = np.ones(b.num_rows, np.int64)
+        h_all, row_all, times_all, asked = [], [], [], []
         for lo, hi in passes(at):
             part, text = at[lo : hi + 1] - at[lo], data[at[lo] : at[hi]]
             h, word_at, _, _ = word_hashes(text, part)
             n_tokens[lo:hi] += np.diff(word_at)
-            s, where, row = stream(text, part)
-            score[lo:hi] = np.bincount(row, trie(codes(s, where)), hi - lo)
+            s, where, _ = stream(text, part)
+            asked.append(_distinct(codes(s, where)))
             for i in range(hi - lo):
                 w, c = np.unique(h[word_at[i] : word_at[i + 1]], return_counts=True)
                 h_all.append(w)
@@ -337,29 +396,31 @@ def _sent(docs: DataFrame, trie: Trie, ranges: int) -> DataFrame:
         shared_count = (np.add.reduceat(trained, first)[common] if len(first) else np.zeros(0)).astype(np.int64)
         # the batch keeps (row, place among the shared, times) of shared words
         place = (np.cumsum(common) - 1)[word[own]].astype(np.int32)
-        keep = [(number, -1, b.num_rows, place.tobytes(), row[own].tobytes(), times[own].tobytes(), shared.tobytes(), _doc_rows(b, n_tokens, score, train))]
+        keep = [(number, -1, b.num_rows, place.tobytes(), row[own].tobytes(), times[own].tobytes(), shared.tobytes(), _doc_rows(b, n_tokens, train, at), None, zlib.compress(data.tobytes(), 1))]
         h, row, times = h[~own], row[~own], times[~own]
         width = U64((1 << 64) // ranges + 1)
         edges = np.arange(1, ranges, dtype=U64) * width
         cut, cut_shared = np.searchsorted(h, edges), np.searchsorted(shared, edges)
         flag = np.where(train[row], times, -times) if len(row) else times  # held-out documents only ask
         parts = zip(np.split(h, cut), np.split(row, cut), np.split(flag, cut), np.split(shared, cut_shared), np.split(shared_count, cut_shared), strict=True)
+        asked, begin = _dealt(asked, ranges)
         for r, (w, d, t, s, c) in enumerate(parts):
-            if len(w) or len(s):
-                keep.append((number, r, b.num_rows, w.tobytes(), d.astype(np.uint16).tobytes(), t.tobytes(), s.tobytes(), c.tobytes()))
+            x = asked[begin[r] : begin[r + 1]]
+            if len(w) or len(s) or len(x):
+                keep.append((number, r, b.num_rows, w.tobytes(), d.astype(np.uint16).tobytes(), t.tobytes(), s.tobytes(), c.tobytes(), _squeezed(x) if len(x) else None, None))
         cols = list(zip(*keep, strict=True))
-        kinds = (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 5)
+        kinds = (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 7)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in SENT.split(", ")])
 
     return docs.mapInArrow(run, SENT)
 
 
-def _doc_rows(b: pa.RecordBatch, n_tokens, score, train) -> bytes:
+def _doc_rows(b: pa.RecordBatch, n_tokens, train, at) -> bytes:
     ids = b["doc_id"]
-    return np.rec.fromarrays([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), n_tokens, score, train], names="id,none,n,score,train").tobytes()
+    return np.rec.fromarrays([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), n_tokens, train, np.diff(at)], names="id,none,n,train,size").tobytes()
 
 
-DOC = np.dtype([("id", np.int64), ("none", np.bool_), ("n", np.int64), ("score", np.float64), ("train", np.bool_)])
+DOC = np.dtype([("id", np.int64), ("none", np.bool_), ("n", np.int64), ("train", np.bool_), ("size", np.int64)])
 ANSWER = "batch long, range int, row binary, sums binary, known binary, shared binary, shared_count binary, distinct long"
 
 
@@ -394,7 +455,38 @@ def _answered(sent: DataFrame) -> DataFrame:
     return sent.filter("range >= 0").repartition(shuffle_parts(sent.sparkSession), "range").mapInArrow(run, ANSWER)
 
 
-def _joined(sent: DataFrame, answers: DataFrame) -> DataFrame:
+VALUES = "batch long, range int, log_p binary"
+
+
+def _valued(sent: DataFrame, counts: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """For each batch and range: the log10 probabilities of the batch's codes of this range, in their order.
+
+    Within a range the counts come first; then one batch's codes are in memory at a time.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, have, trie = None, [], None
+        for b in batches:
+            out = []
+            for r, number, k, c in zip(b["range"].to_pylist(), b["batch"].to_pylist(), b["codes"], b["counts"], strict=True):
+                if r != at:
+                    at, have, trie = r, [], None
+                if number is None:
+                    have.append((np.frombuffer(k.as_py(), U64), np.frombuffer(c.as_py(), np.int64)))
+                    continue
+                if trie is None:
+                    trie = of_range(low, *(np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(zip(*have, strict=True) if have else ((), ()), (U64, np.int64), strict=True)))
+                    have = []
+                out.append((number, r, trie(_expanded(k.as_py())).astype(np.float32).tobytes()))
+            cols = list(zip(*out, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary()), strict=True)], ["batch", "range", "log_p"])
+
+    asked = sent.filter("codes is not null").select("range", "batch", "codes", F.lit(None).cast("binary").alias("counts"))
+    rows = counts.select("range", F.lit(None).cast("long").alias("batch"), "codes", "counts").union(asked)
+    return rows.repartition(shuffle_parts(sent.sparkSession), "range").sortWithinPartitions("range", F.col("batch").asc_nulls_first()).mapInArrow(run, VALUES)
+
+
+def _joined(sent: DataFrame, answers: DataFrame, values: DataFrame, ranges: int) -> DataFrame:
     """(doc_id, n_tokens, n_known, log_sum, score) for each document, put together by batch."""
 
     def run(key, mine: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
@@ -404,7 +496,9 @@ def _joined(sent: DataFrame, answers: DataFrame) -> DataFrame:
         sums, known = np.zeros(n), np.zeros(n, np.int64)
         shared = np.frombuffer(r.shared, U64)
         count = np.zeros(len(shared), np.int64)
-        for x in got.sort_values("range").itertuples():
+        got = got.sort_values("range")
+        log_p = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(x, np.float32) for x in got.log_p if x is not None)])
+        for x in got[got.row.notna()].itertuples():
             row = np.frombuffer(x.row, np.uint16)
             sums[row] += np.frombuffer(x.sums, np.float64)
             known[row] += np.frombuffer(x.known, np.int64)
@@ -413,12 +507,14 @@ def _joined(sent: DataFrame, answers: DataFrame) -> DataFrame:
         c = count[place]
         sums += np.bincount(row, times * np.log10(c + 0.5), n)
         known += np.bincount(row, times * (c > 0), n).astype(np.int64)
+        score = _scored(zlib.decompress(r.text), np.concatenate(([0], np.cumsum(docs["size"]))), ranges, log_p)
         ids = pd.array(np.where(docs["none"], 0, docs["id"]), dtype="Int64")
         ids[docs["none"]] = pd.NA
-        return pd.DataFrame({"doc_id": ids, "train": docs["train"], "n_tokens": docs["n"], "n_known": known, "log_sum": sums, "score": docs["score"]})
+        return pd.DataFrame({"doc_id": ids, "train": docs["train"], "n_tokens": docs["n"], "n_known": known, "log_sum": sums, "score": score})
 
-    mine = sent.filter("range = -1").select("batch", "words", "row", "times", "shared", "shared_count")
-    return mine.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(run, "doc_id long, train boolean, n_tokens long, n_known long, log_sum double, score double")
+    mine = sent.filter("range = -1").select("batch", "words", "row", "times", "shared", "shared_count", "text")
+    got = answers.drop("distinct").unionByName(values, allowMissingColumns=True)
+    return mine.groupBy("batch").cogroup(got.groupBy("batch")).applyInPandas(run, "doc_id long, train boolean, n_tokens long, n_known long, log_sum double, score double")
 
 
 def scores(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
@@ -433,11 +529,12 @@ def scores(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     docs = docs.withColumn("held_out", held_out(F.col("doc_id"), folds))
-    trie = pretrained(docs.filter("not held_out").select("text"))
-    parts = shuffle_parts(docs.sparkSession)
-    sent = kept(_sent(docs, trie, parts * RANGES_PER_PART))
+    ranges = shuffle_parts(docs.sparkSession) * RANGES_PER_PART
+    counts = kept(context_counts(docs.filter("not held_out").select("text"), ranges))
+    sent = kept(_sent(docs, ranges))
     answers = kept(_answered(sent))
-    found = kept(_joined(sent, answers))
+    values = _valued(sent, counts, nearest(counts, ranges))
+    found = kept(_joined(sent, answers, values, ranges))
     n, train_docs = found.filter("train").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
     v = (answers.agg(F.sum("distinct")).first()[0] or 0) + (train_docs > 0)  # the end is a token too
     all_of_it = n + 0.5 * (v + 1)

@@ -380,3 +380,17 @@ def test_adaptive_code_length():
     rng = random.Random(1)
     assert compress.adaptive("abcd " * 50) > compress.adaptive("".join(rng.choice("abcdefghijklmnop") for _ in range(250)))
     assert compress.adaptive("") == pytest.approx(-math.log10(256))
+
+
+def test_language_model_keeps_rare_contexts(spark):
+    # 18 MB of training text: a share of 2 ** -23 of it is more than one occurrence, and the last word's contexts come once
+    long = "abcdefgh " * 10000
+    rows = [(i, long) for i in range(250) if zlib.crc32(str(i).encode()) % 5 != 1] + [(1000, "zyxwvu"), (1003, "zyxwvu")]
+    train = [zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in rows]
+    assert sum(len(t) for (_, t), use in zip(rows, train, strict=True) if use) > 2 * 2**23 and sum(train[-2:]) == 1
+    # each byte of the rare word but its first is the one that came after its context, once: half of the count is left to it
+    got = {r.doc_id: r.score for r in compress.scores(spark.createDataFrame(rows, DOCS)).filter("doc_id >= 1000").collect()}
+    n = sum(train) - 1
+    # the first byte: a of all the long texts at order 5, escaped to z
+    first = math.log10((2 * 1 - 1) / (2 * (n + 1)))
+    assert all(s == pytest.approx(first + 6 * math.log10(0.5), abs=1e-4) for s in got.values())
