@@ -420,7 +420,7 @@ def _across(proposed: DataFrame, parts: DataFrame, scored: DataFrame, small: Dat
     leader = leader.union(scored.select(F.col("a").alias("node"), F.struct(F.lit(0.0).alias("away"), F.col("a").alias("leader"), F.col("n_a").alias("both")).alias("r")))
     # one leader for each node, the same for as many nodes as possible: the one of least hash
     ref = leader.groupBy("node").agg(F.min(F.struct(F.xxhash64("r.leader"), "r.leader", "r.away", "r.both")).alias("r")).select("node", "r.leader", "r.away", F.col("r.both").alias("of_leader"))
-    # the keys that a set shares with no other are in common with none
+    # of two sets, the one whose keys end first has in common with the other only keys that are shared, and what lies behind its keys
     shared = proposed.filter("kind = 4").groupBy("node").agg(F.sum("pos").cast("int").alias("shared"))
     rest = proposed.filter("kind = 1").select("key", "node", "n", "pos").join(shared, "node")
     prefix = F.expr(f"least(n, n - (n * {SHARE[0]} + {SHARE[1] - 1}) div {SHARE[1]} + {AGREE})")
@@ -470,9 +470,11 @@ def _across(proposed: DataFrame, parts: DataFrame, scored: DataFrame, small: Dat
         for i in left:
             j = right if lo != hi else right[node[right] > node[i]]
             j = j[comp[j] != comp[i]]
+            # room holds for the one whose keys end first: a key of the other may lie behind them
+            most = np.maximum(room[i], room[j])
             # with a shared leader: what both have of it, and what both may share besides
-            besides = np.minimum(mine[i], mine[j]) + np.minimum(room[i] - mine[i], room[j] - mine[j])
-            most = np.where((lead[j] == lead[i]) & (lead[i] != 0), np.minimum(besides, np.minimum(room[i], room[j])), np.minimum(room[i], room[j]))
+            besides = np.minimum(mine[i], mine[j]) + np.minimum(n[i] - mine[i], n[j] - mine[j])
+            most = np.where((lead[j] == lead[i]) & (lead[i] != 0), np.minimum(besides, most), most)
             j = j[_fits(n[i], n[j], pos[i], pos[j], most)]
             far = (lead[j] == lead[i]) & (lead[i] != 0) & (np.abs(away[j] - away[i]) > 0.25 + 1e-9)
             j = j[~far]

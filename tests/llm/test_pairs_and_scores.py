@@ -122,6 +122,15 @@ def test_ngram_join_of_nothing_and_of_repeated_rows(spark):
     assert got == [(0, None), (1, 1), (2, 1), (2, 1), (3, 3)]
 
 
+def test_ngram_join_of_a_text_and_its_copies_with_leads(spark):
+    # the keys of each copy are its own lead and a part of the text: what lies behind them is in other sets' keys
+    base = " ".join(f"w{i}" for i in range(90))
+    rows = [(0, base)] + [(i, " ".join(f"lead{i}x{j}" for j in range(15)) + " " + base) for i in range(1, 21)]
+    got = ngram_join.ngram_jaccard_components(spark.createDataFrame(rows, DOCS)).collect()
+    want = components_of(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want and len({c for _, c in want.values()}) == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 100), (7, 7), (None, 3), (200, 100)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
