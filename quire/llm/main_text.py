@@ -6,12 +6,15 @@ streams of one host's pages are concatenated and their suffixes sorted by prefix
 doubling; runs of RUN tokens or more that recur on enough distinct pages are
 boilerplate, and what they cover is removed. Text inside an article or main element
 only goes by whole blocks, and only if half of the host's pages share it; elsewhere
-the unique runs are kept. Copies of one page count as one page. Large hosts are
-dealt into groups of about GROUP_CHARS characters, each with a suffix array of its own.
+the unique runs are kept. Copies of one page count as one page. The pages of a host of
+more than GROUP_CHARS characters of text are dealt into groups; there the distinct pages
+of each run, by its hash, are counted over the whole host, and the frequent runs are sent
+to all of the host's groups. So every host is judged as a whole, whatever its size.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.shared import columns, documents, shuffle_parts, stored
-from quire.llm.words import utf8, word_hashes
+from quire.llm.words import shingle_hashes, utf8, word_hashes
 
 RUN = 8
 GROUP_CHARS = 500_000
@@ -119,7 +122,7 @@ def blocks(page: str) -> list[tuple[bool, str]]:
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, size, main, texts): if a page has text inside an article or main element, its other text is left out."""
+    """(page_id, url, main, size, texts, digest, host), digest the same for pages of the same words: if a page has text inside an article or main element, its other text is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -130,11 +133,13 @@ def page_blocks(pages: DataFrame) -> DataFrame:
                 main = pa.array([bool(f and f[0][0]) for f in found], pa.bool_())
                 texts = pa.array([[t for _, t in f] for f in found], pa.list_(pa.string()))
                 size = pa.array([sum(len(t) for _, t in f) for f in found], pa.int64())
-                yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], main, size, texts], ["page_id", "url", "main", "size", "texts"])
+                h, at, _, _ = word_hashes(*utf8(pa.array([" ".join(t for _, t in f) for f in found], pa.large_string())))
+                digest = pa.array([int.from_bytes(hashlib.blake2b(h[i:j].tobytes(), digest_size=8).digest(), "little", signed=True) for i, j in zip(at[:-1], at[1:], strict=True)], pa.int64())
+                yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], main, size, texts, digest], ["page_id", "url", "main", "size", "texts", "digest"])
 
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return rows.mapInArrow(run, "page_id long, url string, main boolean, size long, texts array<string>").withColumn("host", host)
+    return rows.mapInArrow(run, "page_id long, url string, main boolean, size long, texts array<string>, digest long").withColumn("host", host)
 
 
 def repeated(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
@@ -171,25 +176,69 @@ def _cover(rank: np.ndarray, often: np.ndarray, run: int) -> np.ndarray:
     return np.cumsum(start)[: len(rank)] > 0
 
 
-def without_boilerplate(pages: list[tuple[bool, list[str]]], run: int = RUN) -> list[str]:
-    """The texts of one host's pages, (has a main element, blocks), with repeated runs removed."""
+def runs_of(texts: list[str], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of `run` tokens that begin at each token of the pages' texts, and where there is one."""
+    h, at, _, _ = word_hashes(*utf8(pa.array(texts, pa.large_string())))
+    hashes, run_at = shingle_hashes(h, at, run)
+    out, has = np.zeros(len(h), np.uint64), np.zeros(len(h), bool)
+    for i in np.flatnonzero(np.diff(at) >= run):
+        n = run_at[i + 1] - run_at[i]
+        out[at[i] : at[i] + n], has[at[i] : at[i] + n] = hashes[run_at[i] : run_at[i + 1]], True
+    return out, has
+
+
+def run_pages(once: DataFrame) -> DataFrame:
+    """(host, run, n): in how many pages each run came, summed up within each partition of distinct pages."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            by_host: dict[str, list] = {}
+            for host, texts in zip(b["host"].to_pylist(), b["texts"].to_pylist(), strict=True):
+                hashes, has = runs_of([" ".join(texts)])
+                by_host.setdefault(host, []).append(np.unique(hashes[has]))
+            for host, found in by_host.items():
+                run, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([host] * len(run), pa.string()), pa.array(run.view(np.int64)), pa.array(n.astype(np.int64))], ["host", "run", "n"])
+
+    return once.select("host", "texts").mapInArrow(count, "host string, run long, n long").groupBy("host", "run").agg(F.sum("n").alias("n"))
+
+
+def frequent(big: DataFrame) -> DataFrame:
+    """(host, outside, inside): the hashes of the runs that enough of the host's distinct pages share; at most as many as in 1 / OUTSIDE[1] pages."""
+    pages = big.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    runs = run_pages(big.dropDuplicates(["host", "digest"])).filter(F.col("n") >= OUTSIDE[0])
+    runs = runs.join(F.broadcast(pages), "host").filter(F.col("n") >= OUTSIDE[1] * F.col("pages"))
+    inside = (F.col("n") >= INSIDE[0]) & (F.col("n") >= INSIDE[1] * F.col("pages"))
+    return runs.groupBy("host").agg(F.collect_list("run").alias("outside"), F.collect_list(F.when(inside, F.col("run"))).alias("inside"))
+
+
+def without_boilerplate(pages: list[tuple[bool, list[str]]], run: int = RUN, known: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
+    """The texts of one host's pages, (has a main element, blocks), with repeated runs removed.
+
+    known: the hashes of the runs that are boilerplate outside and inside, if these are not all of the host's pages.
+    """
     flat = [b for _, bs in pages for b in bs]
     h, word_at, _, _ = word_hashes(*utf8(pa.array(flat, pa.large_string())))
     sizes = np.diff(word_at)
     owner = np.repeat(np.arange(len(pages)), [len(bs) for _, bs in pages])
     first = np.concatenate(([0], np.cumsum([len(bs) for _, bs in pages]))).astype(np.int64)
-    # copies of one page are one page
-    copies: dict[bytes, int] = {}
-    page_of = np.array([copies.setdefault(h[word_at[first[i]] : word_at[first[i + 1]]].tobytes(), i) for i in range(len(pages))], np.int64)
-    token_page = np.repeat(owner, sizes)
-    distinct = len(copies)
-    rank, count = repeated(h, token_page, run) if len(h) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    if distinct < len(pages) and len(h):
-        has = np.flatnonzero(rank >= 0)
-        seen = np.unique(np.stack([rank[has], page_of[token_page[has]]], 1), axis=0)
-        count = np.bincount(seen[:, 0], minlength=len(count))
-    outside = _cover(rank, count >= max(OUTSIDE[0], OUTSIDE[1] * distinct), run) if len(h) else np.zeros(0, bool)
-    inside = _cover(rank, count >= max(INSIDE[0], INSIDE[1] * distinct), run) if len(h) else np.zeros(0, bool)
+    if known:
+        hashes, has = runs_of([" ".join(bs) for _, bs in pages], run)
+        rank = np.where(has, np.arange(len(h)), -1)
+        outside, inside = (_cover(rank, np.isin(hashes, k), run) if len(h) else np.zeros(0, bool) for k in known)
+    else:
+        # copies of one page are one page
+        copies: dict[bytes, int] = {}
+        page_of = np.array([copies.setdefault(h[word_at[first[i]] : word_at[first[i + 1]]].tobytes(), i) for i in range(len(pages))], np.int64)
+        token_page = np.repeat(owner, sizes)
+        distinct = len(copies)
+        rank, count = repeated(h, token_page, run) if len(h) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if distinct < len(pages) and len(h):
+            has = np.flatnonzero(rank >= 0)
+            seen = np.unique(np.stack([rank[has], page_of[token_page[has]]], 1), axis=0)
+            count = np.bincount(seen[:, 0], minlength=len(count))
+        outside = _cover(rank, count >= max(OUTSIDE[0], OUTSIDE[1] * distinct), run) if len(h) else np.zeros(0, bool)
+        inside = _cover(rank, count >= max(INSIDE[0], INSIDE[1] * distinct), run) if len(h) else np.zeros(0, bool)
     out = []
     for i, (main, bs) in enumerate(pages):
         keep = []
@@ -215,28 +264,33 @@ def main_texts(pages: DataFrame) -> DataFrame:
     odd url counts as one host of its own name. Repeated rows give repeated results.
     White space inside a block becomes one space; blocks are joined by one space.
     """
-    parsed = page_blocks(pages)
-    # only hosts of several groups need their number; the table is written, so that Spark knows its size before it picks the join
-    spread = columns(pages, "url", "html").select(
-        F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)).alias("host"), F.length("html").alias("size")
-    )
-    spread = stored(spread.groupBy("host").agg(F.ceil(F.sum("size") / GROUP_CHARS).cast("int").alias("groups")).filter("groups > 1"))
+    # written once: hosts are measured, runs counted and texts cut from it
+    parsed = stored(page_blocks(pages))
+    spread = stored(parsed.groupBy("host").agg(F.ceil(F.sum("size") / GROUP_CHARS).cast("int").alias("groups")).filter("groups > 1"))
     rows = parsed.join(spread, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int"))
-    rows = rows.select("host", "part", "page_id", "url", "main", "texts").repartition(shuffle_parts(pages.sparkSession), "host", "part").sortWithinPartitions("host", "part")
+    often = frequent(parsed.join(spread, "host", "left_semi")).join(spread, "host", "right").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    # the frequent runs of a host come before the pages of each of its groups
+    none = F.array().cast("array<long>")
+    often = often.select("host", "part", F.lit(0).alias("kind"), F.coalesce("outside", none).alias("outside"), F.coalesce("inside", none).alias("inside"))
+    rows = often.unionByName(rows.select("host", "part", F.lit(1).alias("kind"), "page_id", "url", "main", "texts"), allowMissingColumns=True)
+    rows = rows.repartition(shuffle_parts(pages.sparkSession), "host", "part").sortWithinPartitions("host", "part", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held = None, []
+        group, held, known = None, [], None
         for b in batches:
-            for host, part, *row in zip(*(b[c].to_pylist() for c in ("host", "part", "page_id", "url", "main", "texts")), strict=True):
+            for host, part, kind, outside, inside, *row in zip(*(b[c].to_pylist() for c in ("host", "part", "kind", "outside", "inside", "page_id", "url", "main", "texts")), strict=True):
                 if (host, part) != group:
-                    yield from texts(held)
-                    group, held = (host, part), []
-                held.append(row)
-        yield from texts(held)
-
-    def texts(held) -> Iterator[pa.RecordBatch]:
+                    yield from texts(held, known)
+                    group, held, known = (host, part), [], None
+                if kind:
+                    held.append(row)
+                else:
+                    known = tuple(np.array(x, np.int64).view(np.uint64) for x in (outside, inside))
+        yield from texts(held, known)
+
+    def texts(held, known) -> Iterator[pa.RecordBatch]:
         if held:
-            done = without_boilerplate([(main, bs) for _, _, main, bs in held])
+            done = without_boilerplate([(main, bs) for _, _, main, bs in held], known=known)
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in held], pa.int64()), pa.array([r[1] for r in held], pa.string()), pa.array(done, pa.string()), pa.array([len(t) for t in done], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -46,6 +46,21 @@ def test_repeated_runs_are_boilerplate(spark):
     assert text[103].startswith("the same page") and text[204] == "text 4" and text[300] == "" and text[301] == "alone"
 
 
+def test_hosts_of_many_groups_are_judged_as_a_whole(spark, monkeypatch):
+    notice, half = "please sign up for our daily letter and read more of this", "this line is in more than half of the articles here"
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(12))
+    rare = lambda i: "a run that only two of the many pages of this host have" if i in (3, 90) else ""
+    rows = [(i, f"http://h.example/{i}", f"<script>{'x' * 2000}</script><p>{own(i)}</p><p>{notice if i % 5 == 0 else ''}</p><p>{rare(i)}</p>") for i in range(100)]
+    rows += [(200 + i, f"http://h.example/copy{i}", f"<p>{own(200)} copies of a page count once</p>") for i in range(30)]
+    rows += [(300 + i, f"http://a.example/{i}", f"<article><p>{own(i)}</p><p>{half if i % 3 else ''}</p><p>{notice if i < 15 else ''}</p></article>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    whole = {r.page_id: r.text for r in main_text.main_texts(pages).collect()}
+    monkeypatch.setattr(main_text, "GROUP_CHARS", 300)
+    got = {r.page_id: r.text for r in main_text.main_texts(pages).collect()}
+    assert got == whole and len(got) == len(rows)
+    assert got[5] == own(5) and got[3].endswith("this host have") and got[201].endswith("count once") and got[301] == f"{own(1)} {notice}"
+
+
 def test_repeated_equals_brute_force():
     import numpy as np
 
