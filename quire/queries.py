@@ -125,7 +125,7 @@ PERCENT_DECIMAL = r"""found AS (
     + ") c(category_ord, category) LEFT JOIN found f ON f.category = c.category GROUP BY ALL"
 )
 def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issues of two categories over documents, with a row for every category."""
+    """Issues of two categories over documents, with a row for every category; audit_summary_all counts all of them."""
     docs = table(spark, sf_dir, "documents")
     lists = F.concat(
         F.transform(F.array_distinct(F.regexp_extract_all("text", F.lit(audit.PATTERNS["percent"]), F.lit(0))), lambda t: F.struct(F.lit("percent").alias("category"), t.alias("token"))),
@@ -136,9 +136,21 @@ def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {PERCENT_DECIMAL} SELECT DISTINCT token FROM found WHERE category = 'acronym'")
 def audit_distinct_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acronyms only, by their pattern; audit_distinct_tokens_all has known and foreign tokens too."""
     return audit.distinct_tokens(audit_acronym(spark, sf_dir).withColumn("category", F.lit("acronym")))
 
 
+@query()
+def audit_summary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues of every category over documents."""
+    return audit.category_counts(audit.issues(document_units(spark, sf_dir)))
+
+
+@query()
+def audit_distinct_tokens_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.distinct_tokens(audit.issues(document_units(spark, sf_dir)))
+
+
 @query("SELECT lang, grouping(lang) AS is_total, count(*) AS units, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents GROUP BY ROLLUP (lang)")
 def dry_run_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -326,4 +338,4 @@ def sentence_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, to units, to tokens, to counts by category: the flagship."""
-    return audit_summary(spark, sf_dir)
+    return audit_summary_all(spark, sf_dir)

@@ -43,6 +43,20 @@ def test_entry_and_registry(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
+def test_summary_and_tokens_of_all_categories(spark, tmp_path):
+    texts = ["Giảm 5% và 3.25 ở NASA, giá $40 hay 1/2 của 16GB", "NASA < S&P 500 quan trong", "Warren Buffett nói 401(k), IBM và 3.25", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = {
+        "percent": {(0, "5%")}, "decimal": {(0, "3.25"), (2, "3.25")}, "currency": {(0, "$40")}, "slash_expression": {(0, "1/2")}, "attached_unit": {(0, "16GB")},
+        "acronym": {(0, "NASA"), (0, "GB"), (1, "NASA"), (1, "S&P 500"), (2, "401(k)"), (2, "IBM")}, "unusual_symbol": {(1, "<")}, "suspicious_source_text": {(1, "quan trong")}, "unmapped_foreign_token": {(2, "Warren Buffett")},
+    }
+    for f in (queries.audit_summary_all, queries.entry):
+        got = f(spark, str(tmp_path)).collect()
+        assert len(got) == 10 and {r.category: r.issues for r in got if r.issues} == {c: len(t) for c, t in want.items()}
+    got = queries.audit_distinct_tokens_all(spark, str(tmp_path)).collect()
+    assert sorted(r.token for r in got) == sorted({t for c in ("acronym", "unmapped_foreign_token") for _, t in want[c]})
+
+
 def test_streamed_units_equal_batch(spark, tmp_path):
     from quire.streaming.units import spoken, token_stream
 
