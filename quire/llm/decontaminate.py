@@ -1,6 +1,7 @@
 """Benchmark decontamination with SimHash over windows of the items' sizes.
 
-For an item of w words the windows are all runs of w words of a document. A
+For an item of w words the windows are all runs of w words of a document; a document
+of fewer words is one window as a whole. A
 window that shares no shingle with any item has similarity 0, so only windows
 around shared shingles get fingerprints; that loses nothing. A window's 64-bit
 SimHash is the sign of the summed bits of its shingles, each weighted by its
@@ -110,7 +111,7 @@ def matches(words: np.ndarray, index: ItemIndex, hits: dict[int, np.ndarray], si
         items = items[np.minimum(index.size[items], index.k) == k]
         for size in np.unique(index.size[items]):
             if size > len(words):
-                continue
+                break
             per = int(size) - k + 1
             first, last = np.maximum(at - per + 1, 0), np.minimum(at, len(words) - size)
             step = np.zeros(len(words) + 2, np.int64)
@@ -134,7 +135,16 @@ def matches(words: np.ndarray, index: ItemIndex, hits: dict[int, np.ndarray], si
                     got = weighted_jaccard(np.unique(own, return_counts=True), index.shingles[x])
                     if got >= similarity and got > best.get(x, (0.0, 0))[0]:
                         best[x] = (got, start)
-    return [(x, s, start, int(index.size[x])) for x, (s, start) in sorted(best.items())]
+        short = items[index.size[items] > len(words)]
+        if len(short):
+            whole = np.unique(shingles, return_counts=True)
+            near = np.bitwise_count(U64(fingerprint(*whole)) ^ index.prints[short]) <= RADIUS
+            # the similarity is at most the ratio of the numbers of shingles
+            near &= len(shingles) >= similarity * (index.size[short] - k + 1) - 1e-9
+            for x in short[near].tolist():
+                if (got := weighted_jaccard(whole, index.shingles[x])) >= similarity:
+                    best[x] = (got, 0)
+    return [(x, s, start, min(int(index.size[x]), len(words))) for x, (s, start) in sorted(best.items())]
 
 
 def index_of(items: DataFrame, id_col: str, text_col: str, limit: int = INDEX_BYTES) -> list[ItemIndex]:
@@ -153,7 +163,8 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     """(doc_id, item_id, similarity, first_word, n_words) for each document and item that it holds.
 
     `docs` has doc_id and text, `items` item_id and text; other columns are
-    ignored. The row names the first of the most similar windows. Null and empty
+    ignored. The row names the first of the most similar windows; of a document shorter
+    than the item, the whole document. Null and empty
     texts match nothing, items of fewer than five words are one shingle, repeated
     items give a row each, repeated documents too, and a null id stays null. Items
     are a stated query set: a benchmark of more than INDEX_BYTES is joined in blocks.

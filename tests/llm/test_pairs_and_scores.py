@@ -174,6 +174,16 @@ def test_decontamination_equals_all_windows(spark):
     assert decontaminate.contaminated(df, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    w = [f"w{i}" for i in range(40)]
+    items = spark.createDataFrame([(7, " ".join(w)), (8, "other words than those of the item above")], "item_id long, text string")
+    docs = [(n, " ".join(w[:n])) for n in (39, 31, 30, 4)] + [(100, " ".join(w[2:38] + ["x"]))]
+    # n of the item's words hold n - 4 of its 36 shingles; 36 and another one hold 32, and one of their own
+    got = decontaminate.contaminated(spark.createDataFrame(docs, DOCS), items).collect()
+    want = [(39, 7, 35 / 36, 0, 39), (31, 7, 27 / 36, 0, 31), (100, 7, 32 / 37, 0, 37)]
+    assert sorted((r.doc_id, r.item_id, round(r.similarity, 9), r.first_word, r.n_words) for r in got) == sorted((d, i, round(x, 9), a, n) for d, i, x, a, n in want)
+
+
 def test_hamming_blocks_miss_nothing_within_the_radius():
     rng = np.random.default_rng(0)
     index = decontaminate.ItemIndex([(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(50)])
