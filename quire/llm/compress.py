@@ -10,20 +10,17 @@ before in it.
 The trie holds all contexts, so it grows with the corpus and stays where it is counted:
 dealt out by its contexts of NEAR bytes, so that a context and all that escapes from it
 reach down to NEAR bytes lie in one range. Only the contexts below that, of at most
-256 ** (NEAR - 1) kinds, are summed up on the driver and sent to every range. Batches of
-documents send their distinct contexts to the ranges and get a probability for each.
-
-Word counts for the unigram base need every document's words and all counts of the
-corpus to meet. Batches of documents send their distinct (word, document) pairs,
-packed by ranges of the words' hashes, to one task for each range, which counts the
-training ones and sends sums back to the batch. A word that many documents of a
-batch share is sent once with its count, so no frequent word fills a task.
+256 ** (NEAR - 1) kinds, are summed up on the driver and sent to every range. The counts
+of all words, for the unigram base, are dealt out likewise, by hash.
+
+Batches of documents send their distinct contexts and words to the ranges and get a
+probability or a count for each, with which the batch's texts are read once more. A range
+has its counts in memory and one batch's questions at a time.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents, held_out, kept, shuffle_parts
+from quire.llm.shared import columns, documents, held_out, kept, shuffle_parts, stored
 from quire.llm.words import LOWER, SPACE, passes, utf8, word_hashes
 
 U64 = np.uint64
@@ -42,10 +39,8 @@ ORDER = 5
 END = 0x0A
 #: Contexts of so many bytes decide the range of all longer ones.
 NEAR = 3
-#: A word in so many documents of a batch is sent once for the batch.
-SHARED = 24
-#: Documents of one batch at most; what a range's task gets from one batch is below this times its words.
-BATCH = 2048
+#: Documents of one batch at most.
+BATCH = 8192
 #: Bytes of one batch's texts at most, or one text.
 BATCH_BYTES = 16 << 20
 #: Ranges of hashes for each shuffle partition.
@@ -103,56 +98,100 @@ def _near(keys: np.ndarray) -> np.ndarray:
     return (keys >> U64(8)) & U64((1 << 8 * NEAR) - 1)
 
 
-def _by_range(keys: np.ndarray, counts: np.ndarray, ranges: int) -> list[tuple[int, bytes, bytes]]:
-    r = _range(_near(keys), ranges)
+def _by_range(r: np.ndarray, ranges: int, *rows: np.ndarray) -> list[tuple]:
+    """The rows of each range that has some, in their order."""
+    r = r.astype(np.uint16 if ranges <= 1 << 16 else np.int64)
     by = np.argsort(r, kind="stable")
     cut = np.searchsorted(r[by], np.arange(1, ranges))
-    return [(i, k.tobytes(), c.tobytes()) for i, (k, c) in enumerate(zip(np.split(keys[by], cut), np.split(counts[by].astype(np.int64), cut), strict=True)) if len(k)]
+    return [(i, *x) for i, x in enumerate(zip(*(np.split(x[by], cut) for x in rows), strict=True)) if len(x[0])]
+
+
+def _codes_by_range(keys: np.ndarray, counts: np.ndarray, ranges: int) -> list[tuple]:
+    return [(CODES, *x) for x in _by_range(_range(_near(keys), ranges), ranges, keys, counts)]
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    held: dict[int, list] = {}
+def _summed(batches: Iterator[pa.RecordBatch]) -> list[tuple]:
+    held: dict[tuple, list] = {}
     for b in batches:
-        for r, k, c in zip(b["range"].to_pylist(), b["codes"], b["counts"], strict=True):
-            held.setdefault(r, []).append((np.frombuffer(k.as_buffer(), U64), np.frombuffer(c.as_buffer(), np.int64)))
-    return {r: _add(np.concatenate([k for k, _ in x]), np.concatenate([c for _, c in x])) for r, x in held.items()}
+        for kind, r, k, c in _unpacked(b):
+            held.setdefault((kind, r), []).append((k, c))
+    return [(*of, *_add(*map(np.concatenate, zip(*x, strict=True)))) for of, x in sorted(held.items())]
+
+
+class _Sums:
+    """Keys with counts, gathered and summed up from time to time."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts, self.pending = [np.zeros(0, U64)], [np.zeros(0, np.int64)], 0
 
+    def add(self, keys: np.ndarray) -> None:
+        keys = np.sort(keys)
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        self.keys.append(keys[first])
+        self.counts.append(np.diff(np.append(first, len(keys))))
+        self.pending += len(first)
+        if self.pending > PENDING:
+            self.total()
 
-def context_counts(docs: DataFrame, ranges: int) -> DataFrame:
-    """(range, codes, counts): how often each context and byte came, packed by ranges of the hashes of their nearest bytes."""
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        k, c = _add(np.concatenate(self.keys), np.concatenate(self.counts))
+        self.keys, self.counts, self.pending = [k], [c], 0
+        return k, c
+
+
+def training_counts(docs: DataFrame, ranges: int) -> DataFrame:
+    """(kind, range, keys, counts): how often each context and byte, and each word, came, packed by range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, pending = [np.zeros(0, U64)], [np.zeros(0, np.int64)], 0
+        contexts, words = _Sums(), _Sums()
         for b in batches:
             data, at = utf8(b["text"])
             for lo, hi in passes(at):
-                s, where, _ = stream(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
-                k = codes(s, where)
-                k.sort()
-                first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-                keys.append(k[first])
-                counts.append(np.diff(np.append(first, len(k))))
-                if (pending := pending + len(first)) > PENDING:
-                    (k, c), pending = _add(np.concatenate(keys), np.concatenate(counts)), 0
-                    keys, counts = [k], [c]
-        yield _packed(_by_range(*_add(np.concatenate(keys), np.concatenate(counts)), ranges))
+                text, part = data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+                s, where, _ = stream(text, part)
+                contexts.add(codes(s, where))
+                words.add(word_hashes(text, part)[0])
+        w, n = words.total()
+        yield _packed(_codes_by_range(*contexts.total(), ranges))
+        yield _packed([(WORDS, *x) for x in _by_range(_range(w, ranges), ranges, w, n)])
 
-    return docs.mapInArrow(run, PACKED).repartition(ranges, "range").mapInArrow(lambda it: [_packed([(r, x.tobytes(), c.tobytes()) for r, (x, c) in _summed(it).items()])], PACKED)
+    return docs.mapInArrow(run, PACKED).repartition(ranges, "range").mapInArrow(lambda it: [_packed(_summed(it))], PACKED)
 
 
 #: Codes that a task gathers before it sums them up.
 PENDING = 1 << 20
-PACKED = "range int, codes binary, counts binary"
+PACKED = "kind int, range int, keys binary, counts binary"
+#: Kinds of keys.
+CODES, WORDS = 0, 1
 
 
 def _unpacked(b: pa.RecordBatch):
-    for r, k, c in zip(b["range"].to_pylist(), b["codes"], b["counts"], strict=True):
-        yield r, np.frombuffer(k.as_buffer(), U64), np.frombuffer(c.as_buffer(), np.int64)
+    for kind, r, k, c in zip(b["kind"].to_pylist(), b["range"].to_pylist(), b["keys"], b["counts"], strict=True):
+        yield kind, r, _expanded(k.as_py()), np.frombuffer(_whole(c.as_py()), np.int64)
+
+
+def _squeezed(raw: bytes, level: int = 1) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", level).compress(raw, asbytes=True)
+
 
+def _whole(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
 
-def _packed(rows) -> pa.RecordBatch:
-    r, k, c = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), pa.array(k, pa.binary()), pa.array(c, pa.binary())], ["range", "codes", "counts"])
+
+def _sorted_bytes(keys: np.ndarray) -> bytes:
+    """Sorted keys as the bytes of their differences, equal places together."""
+    return _squeezed(np.diff(keys, prepend=U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _expanded(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(_whole(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(raw.T).view(U64).ravel(), dtype=U64)
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    """rows: kind, range, sorted keys, counts."""
+    cols = list(zip(*((kind, r, _sorted_bytes(k), _squeezed(c.astype(np.int64).tobytes())) for kind, r, k, c in rows), strict=True)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["kind", "range", "keys", "counts"])
 
 
 def _add(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,8 +299,8 @@ def _shorter(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarr
 
 def nearest(counts: DataFrame, ranges: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """The levels below NEAR of all counts: their size is bounded by the kinds of bytes, not by the corpus."""
-    low = counts.mapInArrow(lambda it: (_packed(_by_range(*_shorter(x, c, NEAR - 1), ranges)) for b in it for _, x, c in _unpacked(b)), PACKED)
-    low = low.repartition(ranges, "range").mapInArrow(lambda it: [_packed([(r, x.tobytes(), c.tobytes()) for r, (x, c) in _summed(it).items()])], PACKED)
+    low = counts.filter(F.col("kind") == CODES).mapInArrow(lambda it: (_packed(_codes_by_range(*_shorter(x, c, NEAR - 1), ranges)) for b in it for _, _, x, c in _unpacked(b)), PACKED)
+    low = low.repartition(ranges, "range").mapInArrow(lambda it: [_packed(_summed(it))], PACKED)
     levels = [_gathered(low)]
     for k in range(NEAR - 2, -1, -1):
         levels.insert(0, _shorter(*levels[0], k))
@@ -278,8 +317,8 @@ def of_range(low: list[tuple[np.ndarray, np.ndarray]], keys: np.ndarray, counts:
 
 def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     got = rows.collect()
-    keys = np.concatenate([np.zeros(0, U64), *(np.frombuffer(r.codes, U64) for r in got)])
-    return _add(keys, np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r.counts, np.int64) for r in got)]))
+    keys = np.concatenate([np.zeros(0, U64), *(_expanded(bytes(r["keys"])) for r in got)])
+    return _add(keys, np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(_whole(bytes(r["counts"])), np.int64) for r in got)]))
 
 
 def adaptive(text: str) -> float:
@@ -307,54 +346,62 @@ def adaptive(text: str) -> float:
     return total
 
 
-def _squeezed(codes: np.ndarray) -> bytes:
-    """Sorted codes as the bytes of their differences, equal places together."""
-    return zlib.compress(np.diff(codes, prepend=U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
 
 
-def _expanded(packed: bytes) -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(raw.T).view(U64).ravel(), dtype=U64)
+def _merged(found: list[np.ndarray]) -> np.ndarray:
+    return _distinct(np.concatenate([np.zeros(0, U64), *found]))
 
 
-def _dealt(found: list[np.ndarray], ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes, sorted within ranges, and the place where each range begins."""
-    keys = _distinct(np.concatenate([np.zeros(0, U64), *found]))
-    r = _range(_near(keys), ranges).astype(np.uint16 if ranges <= 1 << 16 else np.int64)
+def _dealt(keys: np.ndarray, near: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys in order of their ranges, and the place where each range begins."""
+    r = _range(near, ranges).astype(np.uint16 if ranges <= 1 << 16 else np.int64)
     by = np.argsort(r, kind="stable")
     return keys[by], np.searchsorted(r[by], np.arange(ranges + 1))
 
 
-def _distinct(keys: np.ndarray) -> np.ndarray:
-    keys = np.sort(keys)
-    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+def _in_order(keys: np.ndarray, near: np.ndarray, ranges: int, values: np.ndarray) -> np.ndarray:
+    """Values that came in the order of _dealt, for the sorted keys."""
+    if len(keys) != len(values):
+        raise RuntimeError(f"{len(values)} answers for {len(keys)} keys")
+    back = np.empty_like(values)
+    back[np.argsort(_range(near, ranges), kind="stable")] = values
+    return back
 
 
-def _scored(text: bytes, at: np.ndarray, ranges: int, values: np.ndarray) -> np.ndarray:
-    """log10 probabilities of a batch's texts from those of its distinct codes, in their order."""
-    data, out, held = np.frombuffer(text, np.uint8), np.zeros(len(at) - 1), []
+def _read(text: bytes, at: np.ndarray, ranges: int, log_p: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text of a batch: the sum of its codes' log10 probabilities, of its words' log10(c + 0.5), and its known words."""
+    data, rows = np.frombuffer(text, np.uint8), len(at) - 1
+    score, sums, known, held, all_words = np.zeros(rows), np.zeros(rows), np.zeros(rows, np.int64), [], []
     for lo, hi in passes(at):
-        s, where, row = stream(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
+        part, here = at[lo : hi + 1] - at[lo], data[at[lo] : at[hi]]
+        s, where, row = stream(here, part)
         # a code has 48 bits and a batch fewer than 2 ** 16 rows
         both = np.sort((codes(s, where) << U64(16)) | row.astype(U64))
-        k, row = both >> U64(16), (both & U64(0xFFFF)).astype(np.int64)
+        k = both >> U64(16)
         first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-        held.append((lo, hi, k[first], np.diff(np.append(first, len(k))), row))
-    keys, _ = _dealt([x[2] for x in held], ranges)
-    if len(keys) != len(values):
-        raise RuntimeError(f"{len(values)} probabilities for {len(keys)} codes")
-    by = np.argsort(keys)
-    keys, values = keys[by], values[by].astype(np.float64)
+        h, word_at, _, _ = word_hashes(here, part)
+        all_words.append(_distinct(h))
+        held.append((lo, hi, k[first], np.diff(np.append(first, len(k))).astype(np.int32), (both & U64(0xFFFF)).astype(np.uint16)))
+    keys, words = _merged([x[2] for x in held]), _merged(all_words)
+    log_p = _in_order(keys, _near(keys), ranges, log_p).astype(np.float64)
+    counts = _in_order(words, words, ranges, counts)
     for lo, hi, k, times, row in held:
-        out[lo:hi] = np.bincount(row, np.repeat(values[np.searchsorted(keys, k)], times), hi - lo)
-    return out
+        score[lo:hi] = np.bincount(row, np.repeat(log_p[np.searchsorted(keys, k)], times), hi - lo)
+        h, word_at, _, _ = word_hashes(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
+        c, owner = counts[np.searchsorted(words, h)], np.repeat(np.arange(hi - lo), np.diff(word_at))
+        sums[lo:hi] = np.bincount(owner, np.log10(c + 0.5), hi - lo)
+        known[lo:hi] = np.bincount(owner, c > 0, hi - lo).astype(np.int64)
+    return score, sums, known
 
 
-SENT = "batch long, range int, docs long, words binary, row binary, times binary, shared binary, shared_count binary, codes binary, text binary"
+SENT = "batch long, range int, codes binary, words binary, docs binary, text binary"
 
 
 def _sent(docs: DataFrame, ranges: int) -> DataFrame:
-    """Rows of each batch: one with range -1 holds what stays with the batch, the others its words and codes by range of hash."""
+    """Rows of each batch: one with range -1 holds its documents, the others its distinct codes and words by range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
@@ -368,153 +415,94 @@ def _sent(docs: DataFrame, ranges: int) -> DataFrame:
 
     def one(b: pa.RecordBatch, number: int) -> pa.RecordBatch:
         data, at = utf8(b["text"])
-        train = ~b["held_out"].to_numpy(zero_copy_only=False)
-        n_tokens = np.ones(b.num_rows, np.int64)
-        h_all, row_all, times_all, asked = [], [], [], []
+        n_tokens, asked, found = np.ones(b.num_rows, np.int64), [], []
         for lo, hi in passes(at):
             part, text = at[lo : hi + 1] - at[lo], data[at[lo] : at[hi]]
             h, word_at, _, _ = word_hashes(text, part)
             n_tokens[lo:hi] += np.diff(word_at)
+            found.append(_distinct(h))
             s, where, _ = stream(text, part)
             asked.append(_distinct(codes(s, where)))
-            for i in range(hi - lo):
-                w, c = np.unique(h[word_at[i] : word_at[i + 1]], return_counts=True)
-                h_all.append(w)
-                times_all.append(c)
-                row_all.append(np.full(len(w), lo + i, np.int32))
-        h, row, times = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (h_all, row_all, times_all))
-        h, row, times = h.astype(U64), row.astype(np.int32), times.astype(np.int32)
-        by = np.argsort(h, kind="stable")
-        h, row, times = h[by], row[by], times[by]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
-        size = np.diff(np.append(first, len(h)))
-        word = np.repeat(np.arange(len(first)), size)
-        common = size >= SHARED
-        own = common[word]
-        shared = h[first[common]]
-        trained = np.where(train[row], times, 0) if len(row) else times
-        shared_count = (np.add.reduceat(trained, first)[common] if len(first) else np.zeros(0)).astype(np.int64)
-        # the batch keeps (row, place among the shared, times) of shared words
-        place = (np.cumsum(common) - 1)[word[own]].astype(np.int32)
-        keep = [(number, -1, b.num_rows, place.tobytes(), row[own].tobytes(), times[own].tobytes(), shared.tobytes(), _doc_rows(b, n_tokens, train, at), None, zlib.compress(data.tobytes(), 1))]
-        h, row, times = h[~own], row[~own], times[~own]
-        width = U64((1 << 64) // ranges + 1)
-        edges = np.arange(1, ranges, dtype=U64) * width
-        cut, cut_shared = np.searchsorted(h, edges), np.searchsorted(shared, edges)
-        flag = np.where(train[row], times, -times) if len(row) else times  # held-out documents only ask
-        parts = zip(np.split(h, cut), np.split(row, cut), np.split(flag, cut), np.split(shared, cut_shared), np.split(shared_count, cut_shared), strict=True)
-        asked, begin = _dealt(asked, ranges)
-        for r, (w, d, t, s, c) in enumerate(parts):
-            x = asked[begin[r] : begin[r + 1]]
-            if len(w) or len(s) or len(x):
-                keep.append((number, r, b.num_rows, w.tobytes(), d.astype(np.uint16).tobytes(), t.tobytes(), s.tobytes(), c.tobytes(), _squeezed(x) if len(x) else None, None))
-        cols = list(zip(*keep, strict=True))
-        kinds = (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 7)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in SENT.split(", ")])
+        keys, words = _merged(asked), _merged(found)
+        keys, at_key = _dealt(keys, _near(keys), ranges)
+        words, at_word = _dealt(words, words, ranges)
+        out = [(number, -1, None, None, _doc_rows(b, n_tokens, at), _squeezed(data.tobytes(), 6))]
+        for r in np.flatnonzero((np.diff(at_key) > 0) | (np.diff(at_word) > 0)).tolist():
+            out.append((number, r, *(_sorted_bytes(x) for x in (keys[at_key[r] : at_key[r + 1]], words[at_word[r] : at_word[r + 1]])), None, None))
+        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in SENT.split(", ")])
 
     return docs.mapInArrow(run, SENT)
 
 
-def _doc_rows(b: pa.RecordBatch, n_tokens, train, at) -> bytes:
-    ids = b["doc_id"]
-    return np.rec.fromarrays([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), n_tokens, train, np.diff(at)], names="id,none,n,train,size").tobytes()
-
-
 DOC = np.dtype([("id", np.int64), ("none", np.bool_), ("n", np.int64), ("train", np.bool_), ("size", np.int64)])
-ANSWER = "batch long, range int, row binary, sums binary, known binary, shared binary, shared_count binary, distinct long"
 
 
-def _answered(sent: DataFrame) -> DataFrame:
-    """For each batch and range: sums of log10(c + 0.5) and known words by document, the shared words' counts, and the range's distinct training words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_range: dict[int, list] = {}
-        for b in batches:
-            for r in b.to_pylist():
-                by_range.setdefault(r["range"], []).append(r)
-        for number, rows in sorted(by_range.items()):
-            words = [np.frombuffer(r["words"], U64) for r in rows]
-            times = [np.frombuffer(r["times"], np.int32) for r in rows]
-            shared = [np.frombuffer(r["shared"], U64) for r in rows]
-            keys = np.concatenate([*words, *shared])
-            counts = np.concatenate([*(np.maximum(t, 0).astype(np.int64) for t in times), *(np.frombuffer(r["shared_count"], np.int64) for r in rows)])
-            vocabulary, total = _add(keys, counts)
-            distinct = int((total > 0).sum())
-            out = []
-            for i, r in enumerate(rows):
-                c = total[np.searchsorted(vocabulary, words[i])]
-                t = np.abs(times[i])
-                doc = np.frombuffer(r["row"], np.uint16)
-                have, back = np.unique(doc, return_inverse=True)
-                sums = np.bincount(back, t * np.log10(c + 0.5), len(have))
-                known = np.bincount(back, t * (c > 0), len(have)).astype(np.int64)
-                out.append((r["batch"], number, have.tobytes(), sums.tobytes(), known.tobytes(), shared[i].tobytes(), total[np.searchsorted(vocabulary, shared[i])].tobytes(), distinct if i == 0 else 0))
-            kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in ANSWER.split(", ")])
-
-    return sent.filter("range >= 0").repartition(shuffle_parts(sent.sparkSession), "range").mapInArrow(run, ANSWER)
+def _doc_rows(b: pa.RecordBatch, n_tokens: np.ndarray, at: np.ndarray) -> bytes:
+    ids = b["doc_id"]
+    out = np.zeros(b.num_rows, DOC)
+    out["id"], out["none"], out["n"], out["size"] = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), n_tokens, np.diff(at)
+    out["train"] = ~b["held_out"].to_numpy(zero_copy_only=False)
+    return out.tobytes()
 
 
-VALUES = "batch long, range int, log_p binary"
+ANSWER = "batch long, range int, log_p binary, counts binary"
 
 
-def _valued(sent: DataFrame, counts: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """For each batch and range: the log10 probabilities of the batch's codes of this range, in their order.
+def _answered(sent: DataFrame, counts: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """For each batch and range: the log10 probabilities of its codes and the training counts of its words, in their order.
 
-    Within a range the counts come first; then one batch's codes are in memory at a time.
+    Within a range the counts come first; then one batch's questions are in memory at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, have, trie = None, [], None
+        at, have, trie = None, {}, None
+        none = (np.zeros(0, U64), np.zeros(0, np.int64))
         for b in batches:
             out = []
-            for r, number, k, c in zip(b["range"].to_pylist(), b["batch"].to_pylist(), b["codes"], b["counts"], strict=True):
+            for r, number, kind, k, c, x, w in zip(*(b[n].to_pylist() for n in ("range", "batch", "kind")), *(b[n] for n in ("keys", "counts", "codes", "words")), strict=True):
                 if r != at:
-                    at, have, trie = r, [], None
+                    at, have, trie = r, {}, None
                 if number is None:
-                    have.append((np.frombuffer(k.as_py(), U64), np.frombuffer(c.as_py(), np.int64)))
+                    have[kind] = (_expanded(k.as_py()), np.frombuffer(_whole(c.as_py()), np.int64))
                     continue
-                if trie is None:
-                    trie = of_range(low, *(np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(zip(*have, strict=True) if have else ((), ()), (U64, np.int64), strict=True)))
-                    have = []
-                out.append((number, r, trie(_expanded(k.as_py())).astype(np.float32).tobytes()))
-            cols = list(zip(*out, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary()), strict=True)], ["batch", "range", "log_p"])
+                trie = trie or of_range(low, *have.get(CODES, none))
+                words, total = have.get(WORDS, none)
+                asked = _expanded(w.as_py())
+                place = np.minimum(np.searchsorted(words, asked), max(0, len(words) - 1))
+                n = np.where(words[place] == asked, total[place], 0) if len(words) else np.zeros(len(asked), np.int64)
+                out.append((number, r, _squeezed(trie(_expanded(x.as_py())).astype(np.float32).tobytes()), _squeezed(n.tobytes())))
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["batch", "range", "log_p", "counts"])
 
-    asked = sent.filter("codes is not null").select("range", "batch", "codes", F.lit(None).cast("binary").alias("counts"))
-    rows = counts.select("range", F.lit(None).cast("long").alias("batch"), "codes", "counts").union(asked)
-    return rows.repartition(shuffle_parts(sent.sparkSession), "range").sortWithinPartitions("range", F.col("batch").asc_nulls_first()).mapInArrow(run, VALUES)
+    rows = counts.unionByName(sent.filter("range >= 0").select("batch", "range", "codes", "words"), allowMissingColumns=True)
+    return rows.repartition(shuffle_parts(sent.sparkSession), "range").sortWithinPartitions("range", F.col("batch").asc_nulls_first()).mapInArrow(run, ANSWER)
 
 
-def _joined(sent: DataFrame, answers: DataFrame, values: DataFrame, ranges: int) -> DataFrame:
-    """(doc_id, n_tokens, n_known, log_sum, score) for each document, put together by batch."""
+def _joined(sent: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
+    """(doc_id, train, n_tokens, n_known, log_sum, score) for each document, put together by batch."""
 
     def run(key, mine: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        r = mine.iloc[0]
-        docs = np.frombuffer(r.shared_count, DOC)
-        n = len(docs)
-        sums, known = np.zeros(n), np.zeros(n, np.int64)
-        shared = np.frombuffer(r.shared, U64)
-        count = np.zeros(len(shared), np.int64)
+        docs = np.frombuffer(mine.docs.iloc[0], DOC)
         got = got.sort_values("range")
-        log_p = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(x, np.float32) for x in got.log_p if x is not None)])
-        for x in got[got.row.notna()].itertuples():
-            row = np.frombuffer(x.row, np.uint16)
-            sums[row] += np.frombuffer(x.sums, np.float64)
-            known[row] += np.frombuffer(x.known, np.int64)
-            count[np.searchsorted(shared, np.frombuffer(x.shared, U64))] = np.frombuffer(x.shared_count, np.int64)
-        place, row, times = (np.frombuffer(v, np.int32) for v in (r.words, r.row, r.times))
-        c = count[place]
-        sums += np.bincount(row, times * np.log10(c + 0.5), n)
-        known += np.bincount(row, times * (c > 0), n).astype(np.int64)
-        score = _scored(zlib.decompress(r.text), np.concatenate(([0], np.cumsum(docs["size"]))), ranges, log_p)
-        ids = pd.array(np.where(docs["none"], 0, docs["id"]), dtype="Int64")
+        log_p, counts = (np.concatenate([np.zeros(0, t), *(np.frombuffer(_whole(x), t) for x in got[n])]) for n, t in (("log_p", np.float32), ("counts", np.int64)))
+        score, sums, known = _read(_whole(mine.text.iloc[0]), np.concatenate(([0], np.cumsum(docs["size"]))), ranges, log_p, counts)
+        ids = pd.array(docs["id"], dtype="Int64")
         ids[docs["none"]] = pd.NA
         return pd.DataFrame({"doc_id": ids, "train": docs["train"], "n_tokens": docs["n"], "n_known": known, "log_sum": sums, "score": score})
 
-    mine = sent.filter("range = -1").select("batch", "words", "row", "times", "shared", "shared_count", "text")
-    got = answers.drop("distinct").unionByName(values, allowMissingColumns=True)
-    return mine.groupBy("batch").cogroup(got.groupBy("batch")).applyInPandas(run, "doc_id long, train boolean, n_tokens long, n_known long, log_sum double, score double")
+    mine = sent.filter("range = -1").select("batch", "docs", "text")
+    return mine.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(run, "doc_id long, train boolean, n_tokens long, n_known long, log_sum double, score double")
+
+
+def vocabulary(counts: DataFrame) -> DataFrame:
+    """The number of distinct training words: each is in one range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(k) for _, _, k, _ in _unpacked(b)], pa.int64())], ["n"])
+
+    return counts.filter(F.col("kind") == WORDS).mapInArrow(run, "n long").agg(F.sum("n"))
 
 
 def scores(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
@@ -530,13 +518,11 @@ def scores(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     docs = docs.withColumn("held_out", held_out(F.col("doc_id"), folds))
     ranges = shuffle_parts(docs.sparkSession) * RANGES_PER_PART
-    counts = kept(context_counts(docs.filter("not held_out").select("text"), ranges))
-    sent = kept(_sent(docs, ranges))
-    answers = kept(_answered(sent))
-    values = _valued(sent, counts, nearest(counts, ranges))
-    found = kept(_joined(sent, answers, values, ranges))
+    counts = kept(training_counts(docs.filter("not held_out").select("text"), ranges))
+    sent = stored(_sent(docs, ranges))
+    found = kept(_joined(sent, _answered(sent, counts, nearest(counts, ranges)), ranges))
     n, train_docs = found.filter("train").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
-    v = (answers.agg(F.sum("distinct")).first()[0] or 0) + (train_docs > 0)  # the end is a token too
+    v = (vocabulary(counts).first()[0] or 0) + (train_docs > 0)  # the end is a token too
     all_of_it = n + 0.5 * (v + 1)
     end = math.log10((train_docs + 0.5) / all_of_it)
     return found.select(

@@ -102,7 +102,8 @@ def test_ngram_join_finds_the_components_of_all_pairs(spark, seed):
 
 def test_ngram_join_with_large_and_dealt_out_keys(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "SMALL_KEY", 2)
-    monkeypatch.setattr(ngram_join, "TILE", 8)
+    monkeypatch.setattr(ngram_join, "FEW", 3)
+    monkeypatch.setattr(ngram_join, "MEET", 8)
     monkeypatch.setattr(ngram_join, "PARTNERS", 4)
     rows = corpus(5)
     real = ngram_join.keys
@@ -380,7 +381,6 @@ def ppm(rows, train):
 
 def test_language_model_scores(spark, monkeypatch):
     monkeypatch.setattr(compress, "BATCH", 16)
-    monkeypatch.setattr(compress, "SHARED", 3)
     rows = corpus(11, 30) + [(None, "null id"), (4, "a b"), (4, "a b")]
     train = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1 for i, _ in rows]
     tokens = [[*words(t), "\n"] for _, t in rows]
