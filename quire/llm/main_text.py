@@ -3,13 +3,17 @@
 Pages are parsed into blocks of visible text; menus, headers, footers, sidebars,
 notices, adverts, forms and comments that the markup names are left out. The token
 streams of one host's pages are concatenated and their suffixes sorted by prefix
-doubling; runs of RUN tokens or more that recur on enough distinct pages are
-boilerplate, and what they cover is removed. Text inside an article or main element
-only goes by whole blocks, and only if half of the host's pages share it; elsewhere
-the unique runs are kept. Copies of one page count as one page. The pages of a host of
-more than GROUP_CHARS characters of text are dealt into groups; there the distinct pages
-of each run, by its hash, are counted over the whole host, and the frequent runs are sent
-to all of the host's groups. So every host is judged as a whole, whatever its size.
+doubling. Neighbours in that order with RUN tokens or more in common are a substring
+that recurs; those on enough distinct pages are boilerplate, and what they cover is
+removed. Whatever a longer substring covers is covered by its parts of RUN tokens, which
+are on as many pages, so suffixes are sorted by RUN tokens and no further. Text inside an
+article or main element only goes by whole blocks, and only if half of the host's pages
+share it; elsewhere the unique runs are kept. Copies of one page count as one page.
+
+A large host is dealt into groups of pages, each with its suffix array, and is still
+judged as a whole: a substring on a share of the host's pages is on such a share of the
+pages of one group at least, so the groups name the candidates, all groups count them,
+and the sums decide. The three passes read one exchange.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +33,8 @@ from quire.llm.shared import columns, documents, shuffle_parts, stored
 from quire.llm.words import shingle_hashes, utf8, word_hashes
 
 RUN = 8
-GROUP_CHARS = 500_000
+#: A host is dealt into groups of so many pages and characters of html at least.
+GROUP_PAGES, GROUP_CHARS = 200, 4_000_000
 #: Distinct pages, and share of a group's pages, that make a run outside an article boilerplate, and a block inside.
 OUTSIDE, INSIDE = (3, 0.05), (4, 0.5)
 
@@ -39,111 +45,145 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 MAIN = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
-#: Words in class and id that name boilerplate.
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adbox|adsense|banner|sponsor(?:ed)?|promo|cookies?|consent|gdpr|notices?|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|aside|footer|masthead|"
-    r"site-?header|page-?header|topbar|comments?|disqus|replies|respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|popup|modal|overlay|widget|pagination|pager|toolbar|skip)(?:$|[\s_-])",
-    re.I,
-)
+#: Names in class and id, as whole words of theirs, of what is never main text.
+SURE = "ads? adverts? advertisement adbox adsense sponsored cookies? gdpr menu nav navbar navigation breadcrumbs? sidebar aside footer masthead topbar comments? disqus replies respond newsletter subscribe signup pagination pager".split()
+#: Names that such parts share with wrappers of a page's text: these don't count for what holds most of it.
+LOOSE = "banner sponsor promo consent notices? share sharing social related recommended login popup modal overlay widget toolbar skip".split()
+_HEAD, _TAIL = r"(?:(?:site|page|main|top|bottom|left|right|global|primary|secondary|post|article|social|user|reader|cookie)[-_])?", r"(?:[-_]?(?:bar|box|area|list|links?|block|section|container|wrap|wrapper|inner|menu|nav|content|thread|form|buttons?|banner|notice|consent|[0-9]+))?"
+NAMED = {kind: re.compile(rf"{_HEAD}(?:{'|'.join(names)}){_TAIL}|(?:site|page)-?header", re.I) for kind, names in (("sure", SURE), ("loose", LOOSE))}
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW_END = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
 
 
-def _apart(tag: str, attributes: str, inside: bool) -> bool:
+def _apart(tag: str, attributes: str, inside: bool) -> str | None:
+    """Whether an element is set apart: "sure", "loose" if its name may be a wrapper's, or None."""
     if tag in APART or tag == "header" and not inside:
-        return True
+        return "sure"
     if not attributes or tag in ("html", "body"):
-        return False
+        return None
+    found = None
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and tag not in MAIN and NAMED.search(value):
-            return True
+            return "sure"
+        if name in ("class", "id") and tag not in MAIN:
+            for word in value.split():
+                if NAMED["sure"].fullmatch(word):
+                    return "sure"
+                if NAMED["loose"].fullmatch(word):
+                    found = "loose"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return "sure"
+    return found
 
 
 def blocks(page: str) -> list[tuple[bool, str]]:
-    """(inside an article or main element, text) of the page's blocks in order, without the parts set apart."""
-    out: list[tuple[bool, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, hidden or apart, main; each includes those around it
+    """(inside an article or main element, text) of the page's blocks in order, without the parts set apart.
+
+    An element that is only set apart by a loose name stays if it holds more than half
+    of the text that isn't surely apart.
+    """
+    out: list[tuple[bool, str, tuple[int, ...]]] = []  # with the loosely named elements around each block
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # tag, hidden or apart, main, loose; each includes those around it
     parts: list[str] = []
-    at, size = 0, len(page)
+    at, size, loose = 0, len(page), 0
 
-    def flush(main: bool) -> None:
+    def flush(of) -> None:
         if parts:
             if text := " ".join(html.unescape("".join(parts)).split()):
-                out.append((main, text))
+                out.append((of[2], text, of[3]))
             parts.clear()
 
+    top = ("", False, False, ())
     while at < size:
         m = TOKEN.search(page, at)
-        off, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        if not off:
+        of = stack[-1] if stack else top
+        if not of[1]:
             parts.append(page[at : m.start() if m else size])
         if not m:
             break
         at = m.end()
         if not m[2]:
-            if m[0].startswith("<![CDATA[") and not off:
+            if m[0].startswith("<![CDATA[") and not of[1]:
                 parts.append(html.escape(m[0][9:].removesuffix("]]>")))
             continue
         tag = m[2].lower()
         if tag == "br":
-            if not off:
+            if not of[1]:
                 parts.append(" ")
             continue
         if m[1]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if tag not in INLINE and tag not in HIDDEN:
-                flush(main)
+                flush(of)
             if depth is not None and not (tag in INLINE and any(s[0] not in INLINE for s in stack[depth:])):
                 del stack[depth:]
             continue
         if tag not in INLINE and tag not in HIDDEN:
-            flush(main)
+            flush(of)
             # an open paragraph, and what is open in it, ends where a block begins
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), None)
             if depth is not None and (stack[depth][0] == "p" or tag == stack[depth][0] and tag in ("li", "tr", "td", "th", "dt", "dd", "option")):
                 del stack[depth:]
-            off, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            of = stack[-1] if stack else top
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "path", "use"):
             continue
         if tag in RAW_END:
             end = RAW_END[tag].search(page, at)
             at = end.start() if end else size
-        inside = main or tag in MAIN
-        stack.append((tag, off or tag in HIDDEN or _apart(tag, m[3], inside), inside))
-    flush(stack[-1][2] if stack else False)
-    return out
+        inside = of[2] or tag in MAIN
+        kind = _apart(tag, m[3], inside)
+        if kind == "loose":
+            if tag in INLINE:
+                kind = None
+            else:
+                loose += 1
+        stack.append((tag, of[1] or tag in HIDDEN or kind == "sure", inside, (*of[3], loose) if kind else of[3]))
+    flush(stack[-1] if stack else top)
+    if loose:
+        holds: dict[int, int] = {}
+        for _, text, names in out:
+            for i in names:
+                holds[i] = holds.get(i, 0) + len(text)
+        half = sum(len(text) for _, text, _ in out) / 2
+        out = [b for b in out if all(holds[i] > half for i in b[2])]
+    return [(main, text) for main, text, _ in out]
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
-    """(page_id, url, main, size, texts, digest, host), digest the same for pages of the same words: if a page has text inside an article or main element, its other text is left out."""
+    """(page_id, url, host, main, text, digest, first): text holds the blocks by line; digest is the same for pages of the same words.
+
+    If a page has text inside an article or main element, its other text is left out.
+    first is true for one page of each host and digest of a partition.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int]] = set()
         for whole in batches:
             for lo in range(0, whole.num_rows, 1000):
                 b = whole.slice(lo, 1000)
                 found = [blocks(h or "") for h in b["html"].to_pylist()]
                 found = [[x for x in f if x[0]] or f for f in found]
                 main = pa.array([bool(f and f[0][0]) for f in found], pa.bool_())
-                texts = pa.array([[t for _, t in f] for f in found], pa.list_(pa.string()))
-                size = pa.array([sum(len(t) for _, t in f) for f in found], pa.int64())
-                h, at, _, _ = word_hashes(*utf8(pa.array([" ".join(t for _, t in f) for f in found], pa.large_string())))
-                digest = pa.array([int.from_bytes(hashlib.blake2b(h[i:j].tobytes(), digest_size=8).digest(), "little", signed=True) for i, j in zip(at[:-1], at[1:], strict=True)], pa.int64())
-                yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], main, size, texts, digest], ["page_id", "url", "main", "size", "texts", "digest"])
+                texts = pa.array(["\n".join(t for _, t in f) for f in found], pa.string())
+                h, at, _, _ = word_hashes(*utf8(texts))
+                digest, first = [int.from_bytes(hashlib.blake2b(h[i:j].tobytes(), digest_size=8).digest(), "little", signed=True) for i, j in zip(at[:-1], at[1:], strict=True)], []
+                for of in zip(b["host"].to_pylist(), digest, strict=True):
+                    first.append(of not in seen)
+                    seen.add(of)
+                yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], b["host"], main, texts, pa.array(digest, pa.int64()), pa.array(first, pa.bool_())], ["page_id", "url", "host", "main", "text", "digest", "first"])
+
+    return pages.mapInArrow(run, "page_id long, url string, host string, main boolean, text string, digest long, first boolean")
 
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+
+def with_host(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return rows.mapInArrow(run, "page_id long, url string, main boolean, size long, texts array<string>, digest long").withColumn("host", host)
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host)
 
 
 def repeated(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """For sorted suffixes of `tokens`: classes of equal runs, per position (-1: none), and distinct pages of each class.
+    """For the suffixes of `tokens` sorted by `run` tokens: classes of those that agree in them, per position (-1: none), and distinct pages of each class.
 
     Prefix doubling: ranks of runs of 1, 2, 4 ... tokens, each from pairs of the
     one before, until `run` tokens are ranked. A run doesn't cross into another page.
@@ -162,9 +202,14 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> tuple[np.n
         values, rank = np.unique(pair, return_inverse=True)
         rank = rank.astype(np.int64) - (1 if len(values) and values[0] == -1 else 0)
         length += step
+    return rank, pages_of(rank, page)
+
+
+def pages_of(rank: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """Distinct pages of each class of positions."""
     has = np.flatnonzero(rank >= 0)
-    seen = np.unique(np.stack([rank[has], page[has]], 1), axis=0) if len(has) else np.zeros((0, 2), np.int64)
-    return rank, np.bincount(seen[:, 0], minlength=int(rank.max(initial=-1)) + 1)
+    both = np.unique(rank[has] * (int(page.max(initial=0)) + 1) + page[has])
+    return np.bincount(both // (int(page.max(initial=0)) + 1), minlength=int(rank.max(initial=-1)) + 1)
 
 
 def _cover(rank: np.ndarray, often: np.ndarray, run: int) -> np.ndarray:
@@ -187,29 +232,55 @@ def runs_of(texts: list[str], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
     return out, has
 
 
-def run_pages(once: DataFrame) -> DataFrame:
-    """(host, run, n): in how many pages each run came, summed up within each partition of distinct pages."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            by_host: dict[str, list] = {}
-            for host, texts in zip(b["host"].to_pylist(), b["texts"].to_pylist(), strict=True):
-                hashes, has = runs_of([" ".join(texts)])
-                by_host.setdefault(host, []).append(np.unique(hashes[has]))
-            for host, found in by_host.items():
-                run, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([host] * len(run), pa.string()), pa.array(run.view(np.int64)), pa.array(n.astype(np.int64))], ["host", "run", "n"])
+def _counted(group: pd.DataFrame) -> list[str]:
+    """The texts of the distinct pages that count in this group."""
+    return group[group["first"]].drop_duplicates("digest")["text"].to_list()
 
-    return once.select("host", "texts").mapInArrow(count, "host string, run long, n long").groupBy("host", "run").agg(F.sum("n").alias("n"))
 
-
-def frequent(big: DataFrame) -> DataFrame:
-    """(host, outside, inside): the hashes of the runs that enough of the host's distinct pages share; at most as many as in 1 / OUTSIDE[1] pages."""
-    pages = big.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    runs = run_pages(big.dropDuplicates(["host", "digest"])).filter(F.col("n") >= OUTSIDE[0])
-    runs = runs.join(F.broadcast(pages), "host").filter(F.col("n") >= OUTSIDE[1] * F.col("pages"))
+def candidates(group: pd.DataFrame) -> pd.DataFrame:
+    """(host, run, pages): the runs that are on a share of OUTSIDE of a group's distinct pages, and with a null run their number."""
+    texts = _counted(group)
+    h, at, _, _ = word_hashes(*utf8(pa.array(texts, pa.large_string())))
+    page = np.repeat(np.arange(len(texts)), np.diff(at))
+    hashes, has = runs_of(texts)
+    found = np.zeros(0, np.int64)
+    if has.any():
+        rank, count = repeated(h, page)
+        # a class by the hash of its first run
+        _, first = np.unique(rank[has], return_index=True)
+        found = hashes[np.flatnonzero(has)[first[count >= OUTSIDE[1] * len(texts)]]].view(np.int64)
+    run_col = pd.array(np.append(found, 0), dtype="Int64")
+    run_col[-1] = pd.NA
+    return pd.DataFrame({"host": group["host"].iloc[0], "run": run_col, "pages": np.append(np.zeros(len(found), np.int64), len(texts))})
+
+
+def counts(group: pd.DataFrame, named: pd.DataFrame) -> pd.DataFrame:
+    """(host, run, n): the distinct pages of a group that have each of the host's candidate runs."""
+    if not len(group) or not len(named):
+        return pd.DataFrame({"host": [], "run": [], "n": []})
+    wanted = np.sort(named["run"].to_numpy(np.int64).view(np.uint64))
+    found = []
+    for text in _counted(group):
+        hashes, has = runs_of([text])
+        hashes = np.unique(hashes[has])
+        at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
+        found.append(at[wanted[at] == hashes])
+    n = np.bincount(np.concatenate([np.zeros(0, np.int64), *found]), minlength=len(wanted))
+    return pd.DataFrame({"host": group["host"].iloc[0], "run": wanted.view(np.int64), "n": n})[n > 0]
+
+
+def frequent(rows: DataFrame, spread: DataFrame) -> DataFrame:
+    """(host, part, run, inside): for each group of a host, the runs that enough of the host's distinct pages share."""
+    parts = spread.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("host", "part")
+    # a condition that isn't deterministic stays above the exchange, which all passes share
+    many = rows.filter(F.col("groups") + F.floor(F.rand()) > 1).groupBy("host", "part")
+    named = many.applyInPandas(candidates, "host string, run long, pages long")
+    total = named.filter("run IS NULL").groupBy("host").agg(F.sum("pages").alias("pages"))
+    runs = named.filter("run IS NOT NULL").select("host", "run").distinct()
+    found = many.cogroup(runs.join(parts, "host").groupBy("host", "part")).applyInPandas(counts, "host string, run long, n long")
+    found = found.groupBy("host", "run").agg(F.sum("n").alias("n")).join(total, "host").filter((F.col("n") >= OUTSIDE[0]) & (F.col("n") >= OUTSIDE[1] * F.col("pages")))
     inside = (F.col("n") >= INSIDE[0]) & (F.col("n") >= INSIDE[1] * F.col("pages"))
-    return runs.groupBy("host").agg(F.collect_list("run").alias("outside"), F.collect_list(F.when(inside, F.col("run"))).alias("inside"))
+    return found.select("host", "run", inside.alias("inside")).join(parts, "host").select("host", "part", "run", "inside")
 
 
 def without_boilerplate(pages: list[tuple[bool, list[str]]], run: int = RUN, known: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
@@ -234,9 +305,7 @@ def without_boilerplate(pages: list[tuple[bool, list[str]]], run: int = RUN, kno
         distinct = len(copies)
         rank, count = repeated(h, token_page, run) if len(h) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         if distinct < len(pages) and len(h):
-            has = np.flatnonzero(rank >= 0)
-            seen = np.unique(np.stack([rank[has], page_of[token_page[has]]], 1), axis=0)
-            count = np.bincount(seen[:, 0], minlength=len(count))
+            count = pages_of(rank, page_of[token_page])
         outside = _cover(rank, count >= max(OUTSIDE[0], OUTSIDE[1] * distinct), run) if len(h) else np.zeros(0, bool)
         inside = _cover(rank, count >= max(INSIDE[0], INSIDE[1] * distinct), run) if len(h) else np.zeros(0, bool)
     out = []
@@ -257,6 +326,18 @@ def without_boilerplate(pages: list[tuple[bool, list[str]]], run: int = RUN, kno
     return out
 
 
+def cut(group: pd.DataFrame, often: pd.DataFrame) -> pd.DataFrame:
+    """(page_id, url, text, n_chars) of a group's pages; `often` holds the host's frequent runs if it has other groups."""
+    if not len(group):
+        return pd.DataFrame({"page_id": [], "url": [], "text": [], "n_chars": []})
+    known = None
+    if group["groups"].iloc[0] > 1:
+        run = often["run"].to_numpy(np.int64).view(np.uint64)
+        known = (run, run[often["inside"].to_numpy(bool)])
+    done = without_boilerplate([(m, t.split("\n") if t else []) for m, t in zip(group["main"], group["text"], strict=True)], known=known)
+    return pd.DataFrame({"page_id": group["page_id"], "url": group["url"], "text": done, "n_chars": [len(t) for t in done]})
+
+
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of `pages`.
 
@@ -264,36 +345,17 @@ def main_texts(pages: DataFrame) -> DataFrame:
     odd url counts as one host of its own name. Repeated rows give repeated results.
     White space inside a block becomes one space; blocks are joined by one space.
     """
-    # written once: hosts are measured, runs counted and texts cut from it
-    parsed = stored(page_blocks(pages))
-    spread = stored(parsed.groupBy("host").agg(F.ceil(F.sum("size") / GROUP_CHARS).cast("int").alias("groups")).filter("groups > 1"))
-    rows = parsed.join(spread, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int"))
-    often = frequent(parsed.join(spread, "host", "left_semi")).join(spread, "host", "right").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    # the frequent runs of a host come before the pages of each of its groups
-    none = F.array().cast("array<long>")
-    often = often.select("host", "part", F.lit(0).alias("kind"), F.coalesce("outside", none).alias("outside"), F.coalesce("inside", none).alias("inside"))
-    rows = often.unionByName(rows.select("host", "part", F.lit(1).alias("kind"), "page_id", "url", "main", "texts"), allowMissingColumns=True)
-    rows = rows.repartition(shuffle_parts(pages.sparkSession), "host", "part").sortWithinPartitions("host", "part", "kind")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held, known = None, [], None
-        for b in batches:
-            for host, part, kind, outside, inside, *row in zip(*(b[c].to_pylist() for c in ("host", "part", "kind", "outside", "inside", "page_id", "url", "main", "texts")), strict=True):
-                if (host, part) != group:
-                    yield from texts(held, known)
-                    group, held, known = (host, part), [], None
-                if kind:
-                    held.append(row)
-                else:
-                    known = tuple(np.array(x, np.int64).view(np.uint64) for x in (outside, inside))
-        yield from texts(held, known)
-
-    def texts(held, known) -> Iterator[pa.RecordBatch]:
-        if held:
-            done = without_boilerplate([(main, bs) for _, _, main, bs in held], known=known)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in held], pa.int64()), pa.array([r[1] for r in held], pa.string()), pa.array(done, pa.string()), pa.array([len(t) for t in done], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    pages = with_host(pages)
+    size = pages.groupBy("host").agg(F.count("*").alias("pages"), F.sum(F.length("html")).alias("chars"))
+    groups = F.floor(F.least(F.col("pages") / GROUP_PAGES, F.col("chars") / GROUP_CHARS)).cast("int")
+    # written, so that the planner knows its size: one row for each host of several groups
+    spread = stored(size.select("host", groups.alias("groups")).filter("groups > 1"))
+    rows = page_blocks(pages).join(spread, "host", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
+    # of the copies of a page one from each partition goes where all are counted once; the others are dealt out
+    home = F.when(F.col("first"), F.xxhash64("digest")).otherwise(F.xxhash64("page_id", "url", "digest"))
+    rows = rows.withColumn("part", F.pmod(home, F.col("groups")).cast("int"))
+    rows = rows.repartition(shuffle_parts(pages.sparkSession), "host", "part")
+    return rows.groupBy("host", "part").cogroup(frequent(rows, spread).groupBy("host", "part")).applyInPandas(cut, "page_id long, url string, text string, n_chars long")
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

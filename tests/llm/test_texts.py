@@ -25,6 +25,10 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
         ('<article><p>x<script>if(a<b)"</p>"</script>y</p><aside>no</aside></article><article>second</article>', "xy second"),
         ("<nav><ul><li>a</ul></nav><article><h1>H</h1><p><b>open<br><p>next</p></article><footer>&copy;</footer>", "H open next"),
         ("<!-- c --><style>p{}</style><title>t</title><p hidden>h</p><p>v", "v"),
+        ('<article><div class="elementor-widget elementor-widget-theme-post-content"><p>Whole body text.</p></div></article>', "Whole body text."),
+        ('<article><p>The text of it</p><div class="share-price side effect">and a price</div></article>', "The text of it and a price"),
+        ('<div class="page widget"><article><p>all that there is here</p><div class="share">tell</div><div class="comments widget">a long thread that readers wrote below</div></article></div>', "all that there is here"),
+        ('<p>text that is longer than</p><div class="cookie-consent">c</div><div class="notice">n</div><ul class="nav-links main"><li>l</ul><div class="social-share-buttons">s</div><div id="respond">r</div>', "text that is longer than"),
         ("", ""),
         (None, ""),
     ],
@@ -56,11 +60,22 @@ def test_hosts_of_many_groups_are_judged_as_a_whole(spark, monkeypatch):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
     whole = {r.page_id: r.text for r in main_text.main_texts(pages).collect()}
     monkeypatch.setattr(main_text, "GROUP_CHARS", 300)
+    monkeypatch.setattr(main_text, "GROUP_PAGES", 10)
     got = {r.page_id: r.text for r in main_text.main_texts(pages).collect()}
     assert got == whole and len(got) == len(rows)
     assert got[5] == own(5) and got[3].endswith("this host have") and got[201].endswith("count once") and got[301] == f"{own(1)} {notice}"
 
 
+def test_main_text_of_no_page_and_of_long_ones(spark):
+    kinds = "page_id long, url string, html string"
+    assert main_text.main_texts(spark.createDataFrame([], kinds)).count() == 0
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(i, "http://l.example/x", f"<p>{long} {i}</p><p>{long}</p>") for i in (1, 1, 2)] + [(None, None, "<p>x")]
+    got = main_text.main_texts(spark.createDataFrame(rows, kinds)).collect()
+    # on two distinct pages only, nothing is boilerplate
+    assert sorted((r.page_id or 0, r.text) for r in got) == [(0, "x")] + [(i, f"{long} {i} {long}") for i in (1, 1, 2)]
+
+
 def test_repeated_equals_brute_force():
     import numpy as np
 
