@@ -14,7 +14,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,37 +78,56 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 def in_descending_order(docs: DataFrame) -> DataFrame:
     """Rows of doc_id and text dealt into ranges of doc_id, with `part`, `own` and the order within a part.
 
-    Parts are cut at quantiles. A part also gets a copy (own is false) of the row
-    that follows its last one: the first of the next part that has rows, and for the
-    last part the first row of all. So neighbours meet without a global sort, and
-    only doc_ids, one for each part, pass through the driver.
+    Parts are cut at quantiles, and rows of one id, or of none, that fill several
+    parts are cut at the hash of their text, which is also their order. A part also gets
+    a copy (own is false) of the row that follows its last one: the first of the next
+    part that has rows, and for the last part the first row of all. So neighbours meet
+    without a global sort, and one row of numbers for each part passes through the driver.
     """
-    ranked = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ids = ranked.select("doc_id")
+    ranked = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     parts = shuffle_parts(docs.sparkSession)
-    cuts = sorted(set(ids.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 1 / (4 * parts))))
-    edges = np.array(cuts, np.float64)
-
-    @F.pandas_udf("int")
-    def part_of(x: pd.Series) -> pd.Series:
-        # null ids come last, so they are the lowest part
-        return pd.Series(np.where(x.isna(), -1, np.searchsorted(edges, x.to_numpy(np.float64)))).astype("int32")
-
-    part = part_of("doc_id")
-    top = {r.part: r.top for r in ids.groupBy(part.alias("part")).agg(F.max("doc_id").alias("top")).collect()}
+    at = [i / parts for i in range(1, parts)] or [0.5]
+    n, known, cuts = ranked.agg(F.count("*"), F.count("doc_id"), F.percentile_approx("doc_id", at, 10 * parts)).first()
+    cuts = np.array(cuts or [], np.int64)[: parts - 1]
+    nameless = min(n - known, max(1, round(parts * (n - known) / max(1, n))))  # parts of null ids, which come last
+
+    @F.arrow_udf("int")
+    def part_of(x: pa.Array, h: pa.Array) -> pa.Array:
+        ids, none = x.fill_null(0).to_numpy(zero_copy_only=False), x.is_null().to_numpy(zero_copy_only=False)
+        first, last = np.searchsorted(cuts, ids, "left"), np.searchsorted(cuts, ids, "right")
+        share = h.to_numpy(zero_copy_only=False) / 2.0**64 + 0.5
+        among = np.where(none, nameless, last - first + 1)
+        sub = np.minimum((share * among).astype(np.int64), among - 1)
+        return pa.array(np.where(none, sub, nameless + first + sub).astype(np.int32))
+
+    part = part_of("doc_id", "h")
+    place = F.struct(F.col("doc_id").isNotNull().cast("int").alias("known"), "doc_id", "h")
+    top = {r.part: (r.top.known, r.top.doc_id or 0, r.top.h) for r in ranked.groupBy(part.alias("part")).agg(F.max(place).alias("top")).collect()}
     order = sorted(top, reverse=True)
     after: dict = {}
     for i, p in enumerate(order):
         after.setdefault(top[order[(i + 1) % len(order)]], []).append(p)
+    tops = np.array(sorted({h for _, _, h in after}), np.int64)
+
+    @F.arrow_udf("array<int>")
+    def lent_to(x: pa.Array, h: pa.Array) -> pa.Array:
+        out: list = [[]] * len(x)
+        for i in np.flatnonzero(np.isin(h.to_numpy(zero_copy_only=False), tops)).tolist():
+            v = x[i].as_py()
+            out[i] = after.get((int(v is not None), v or 0, h[i].as_py()), [])
+        return pa.array(out, pa.list_(pa.int32()))
+
+    # ids of parts as places in a list, each a task of its own
+    task = {p: i for i, p in enumerate(order)}
+    number = np.array([task.get(p, 0) for p in range(max(order, default=0) + 1)], np.int32)
 
-    @F.pandas_udf("array<int>")
-    def lent_to(x: pd.Series) -> pd.Series:
-        return pd.Series([after.get(None if pd.isna(v) else int(v), []) for v in x], dtype=object)
+    @F.arrow_udf("int")
+    def task_of(p: pa.Array) -> pa.Array:
+        return pa.array(number[p.to_numpy(zero_copy_only=False)])
 
-    lent = lent_to("doc_id")
-    to = F.concat(F.array(F.struct(part.alias("part"), F.lit(True).alias("own"))), F.transform(lent, lambda p: F.struct(p.alias("part"), F.lit(False).alias("own"))))
-    out = ranked.withColumn("to", F.explode(to)).select("to.part", "to.own", "doc_id", "text")
-    return out.repartition(max(1, len(top)), "part").sortWithinPartitions("part", F.col("own").desc(), F.col("doc_id").desc_nulls_last(), "text")
+    to = F.concat(F.array(F.struct(part.alias("part"), F.lit(True).alias("own"))), F.transform(lent_to("doc_id", "h"), lambda p: F.struct(p.alias("part"), F.lit(False).alias("own"))))
+    out = ranked.withColumn("to", F.explode(to)).select("to.part", "to.own", "doc_id", "h", "text")
+    return out.repartitionById(max(1, len(top)), task_of("part")).sortWithinPartitions("part", F.col("own").desc(), F.col("doc_id").desc_nulls_last(), F.col("h").desc())
 
 
 def with_edits(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -117,8 +135,9 @@ def with_edits(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
     The edited text is the text with its last floor(n_chars / 2) code points replaced
     by the first as many, or all, of the next document by descending doc_id; after
-    the last comes the first. Rows with one doc_id follow each other by text. A null
-    text is empty, null ids come last, and a single row is its own successor.
+    the last comes the first. Rows with one doc_id follow each other by descending hash
+    of their text. A null text is empty, null ids come last, a single row is its own
+    successor, and no rows give no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,9 +147,13 @@ def with_edits(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             for part, own, doc_id, text in zip(*(b[c].to_pylist() for c in ("part", "own", "doc_id", "text")), strict=True):
                 if last and last[0] == part:
                     rows.append((last[1], last[2], text))
+                elif last:
+                    raise RuntimeError(f"no successor of document {last[1]}")
                 last = (part, doc_id, text) if own else None
             for lo in range(0, len(rows), 256):
                 yield compared(rows[lo : lo + 256])
+        if last:
+            raise RuntimeError(f"no successor of document {last[1]}")
 
     def compared(rows) -> pa.RecordBatch:
         edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for _, t, n in rows]

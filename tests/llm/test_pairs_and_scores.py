@@ -132,6 +132,35 @@ def test_ngram_join_of_a_text_and_its_copies_with_leads(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want and len({c for _, c in want.values()}) == 1
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ngram_join_of_families_around_the_threshold(spark, monkeypatch, seed):
+    # copies edited so much that few link with the first text, in families that link among themselves, some cut short or prolonged
+    monkeypatch.setattr(ngram_join, "SMALL_KEY", 2)
+    monkeypatch.setattr(ngram_join, "FEW", 2 + seed)
+    monkeypatch.setattr(ngram_join, "PARTNERS", 16)
+    monkeypatch.setattr(ngram_join, "MEET", 20 if seed == 3 else 1 << 16)
+    rng = random.Random(seed)
+    base, rows = [f"w{i}" for i in range(120)], []
+
+    def edited(w, times):
+        w = list(w)
+        for _ in range(times):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        return w
+
+    for _ in range(6):
+        family = edited(base, rng.randint(0, 7))
+        if rng.random() < 0.5:
+            family = family[: rng.randint(70, 115)]
+        if rng.random() < 0.5:
+            family = family + [f"y{rng.randrange(10**6)}" for _ in range(rng.randint(5, 40))]
+        rows += [" ".join(edited(family, rng.randint(0, 6))) for _ in range(15)]
+    rows = list(enumerate(rows))
+    got = ngram_join.ngram_jaccard_components(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+    want = components_of(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want and 3 < len({c for _, c in want.values()}) < len(rows)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 100), (7, 7), (None, 3), (200, 100)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -228,26 +257,55 @@ def test_mixture_comes_near_its_targets(spark):
     assert ((per.taken - per.target).abs() / per.target).max() < 0.06
 
 
+def with_edits_by_hand(spark, rows):
+    """(doc_id, text, edited text, next text), by descending doc_id and hash of the text, null ids last."""
+    hashed = spark.createDataFrame([(i, t or "") for i, t in rows], DOCS).select("*", F.xxhash64("text").alias("h")).collect()
+    docs = sorted(hashed, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), -r.h))
+    out = []
+    for r, n in zip(docs, docs[1:] + docs[:1], strict=True):
+        out.append((r.doc_id, r.text, r.text[: len(r.text) - len(r.text) // 2] + n.text[: len(r.text) // 2], n.text))
+    return out
+
+
+def digested(rows):
+    return sorted((str(i), len(t), hashlib.sha256(e.encode()).hexdigest()) for i, t, e, _ in rows)
+
+
 def test_fingerprints(spark):
     rows = [(i, t) for i, t in corpus(7)][:80] + [(None, "last é"), (9, "again"), (9, "again b")]
-    df = spark.createDataFrame(rows, DOCS)
-    got = sketch.with_edits(df.withColumn("part", F.lit("clash"))).toPandas()
-    docs = pd.DataFrame(rows, columns=["doc_id", "text"])
-    docs["text"] = docs.text.fillna("")
-    docs = docs.sort_values(["doc_id", "text"], ascending=[False, True], na_position="last").reset_index(drop=True)
-    after = docs.text.shift(-1).fillna(docs.text.iloc[0])
-    edited = [a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(docs.text, after, strict=True)]
-    show = lambda i: "none" if pd.isna(i) else int(i)
-    want = sorted((str(show(i)), len(t), hashlib.sha256(e.encode()).hexdigest()) for i, t, e in zip(docs.doc_id, docs.text, edited, strict=True))
-    assert sorted((str(show(r.doc_id)), r.n_chars, r.edited_sha256) for r in got.itertuples()) == want
-    true = {(str(show(i)), len(t)): (shingles(t), shingles(e)) for i, t, e in zip(docs.doc_id, docs.text, edited, strict=True)}
-    for r in got.itertuples():
-        a, b = true[str(show(r.doc_id)), r.n_chars]
-        if len(a) < sketch.LEAST and len(b) < sketch.LEAST:
-            assert math.isclose(r.near_edited, len(a & b) / len(a | b) if a | b else 1.0)
-        else:
-            assert abs(r.near_edited - len(a & b) / len(a | b)) < 0.35
+    got = sketch.with_edits(spark.createDataFrame(rows, DOCS).withColumn("part", F.lit("clash")).withColumn("h", F.lit("clash"))).collect()
+    want = with_edits_by_hand(spark, rows)
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got) == digested(want)
+    true = {(i, len(t)): (shingles(t), shingles(e), shingles(n)) for i, t, e, n in want}
+    for r in got:
+        a, *others = true[r.doc_id, r.n_chars]
+        for b, near in zip(others, (r.near_edited, r.near_next), strict=True):
+            real = len(a & b) / len(a | b) if a | b else 1.0
+            if len(a) < sketch.LEAST and len(b) < sketch.LEAST:
+                assert math.isclose(near, real)
+            else:  # four deviations of a sample of as many hashes as are looked at, at least
+                assert abs(near - real) < 4 * 0.5 / min(len(a | b), sketch.LEAST) ** 0.5
     assert sketch.with_edits(spark.createDataFrame([], DOCS)).count() == 0
+    assert sketch.with_edits(spark.createDataFrame([(1, None)], DOCS)).count() == 1
+
+
+def test_no_row_is_lost_with_large_null_and_repeated_ids(spark):
+    big = [(2**53 + 1 + i, f"text {i} of many words that are not the same {i * i}") for i in range(40)]
+    for rows in (big, big + [(None, "a"), (None, "b")], [(None, f"t{i}") for i in range(60)], [(7, f"t{i}") for i in range(60)] + big[:5] + [(None, "x")], [(7, "same")] * 20 + [(3, None)], [(-(2**63), "low"), (2**63 - 1, "high")]):
+        got = sketch.with_edits(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+        assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got) == digested(with_edits_by_hand(spark, rows))
+
+
+def test_likeness_on_both_sides_of_the_least_size():
+    rng = np.random.default_rng(9)
+    for n in (20, 31, 32, 33, 60, 255, 256, 257, 400, 4000, 40_000):
+        errors = []
+        for _ in range(60):
+            both, a, b = (rng.integers(0, 2**64, int(n * x), dtype=np.uint64) for x in (0.6, 0.4, 0.4))
+            real = len(both) / (len(both) + len(a) + len(b))
+            errors.append(sketch.likeness(sketch.scaled(np.concatenate([both, a])), sketch.scaled(np.concatenate([both, b])))[0] - real)
+        looked = max(sketch.LEAST, 1.4 * n / sketch.SCALE)
+        assert abs(np.mean(errors)) < 0.04 and np.std(errors) < (0.01 if n < sketch.LEAST * 0.7 else 1.5 * 0.5 / looked**0.5), n
 
 
 def test_fingerprints_merge():
