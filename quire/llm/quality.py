@@ -4,6 +4,8 @@ Statistics of a text's characters, words and lines are standardised and mapped t
 random Fourier features, whose inner products approximate a Gaussian kernel.
 Each partition sums its part of the normal equations, the sums give the ridge
 weights, and isotonic regression over binned scores turns scores into probabilities.
+The scores that it sees are those of weights fitted without their rows: the rows are
+dealt into two halves, each scored by the other's weights.
 """
 
 from __future__ import annotations
@@ -112,14 +114,14 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 
 
 def _sums(rows: DataFrame, make) -> np.ndarray:
-    """make(statistics, labels) summed over the partitions of (x binary, y int)."""
+    """make(statistics, labels, halves) summed over the partitions of (x binary, y int, half int)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for b in batches:
             if b.num_rows:
                 x = np.stack([np.frombuffer(v.as_buffer(), np.float64) for v in b["x"]])
-                got = make(x, b["y"].to_numpy().astype(np.float64))
+                got = make(x, b["y"].to_numpy().astype(np.float64), b["half"].to_numpy())
                 total = got if total is None else total + got
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
@@ -143,12 +145,13 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "quality", sampl
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = statistics(b["text"])
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), b["y"]], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), b["y"], b["half"]], ["x", "y", "half"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id").select("text", "y")
-    # few rows: so few parts, each of which returns sums of a fixed size
-    rows = kept(texts.mapInArrow(stats, "x binary, y int").coalesce(8))
-    head = _sums(rows, lambda x, y: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]))
+    known = known.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int"))
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id").select("text", "y", "half")
+    # the texts are read where they lie; of the few rows of numbers left, few parts each return sums of a fixed size
+    rows = kept(texts.mapInArrow(stats, "x binary, y int, half int").repartition(8))
+    head = _sums(rows, lambda x, y, half: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]))
     if not len(head):
         return None
     d = (len(head) - 1) // 2
@@ -156,17 +159,23 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "quality", sampl
     scale = np.sqrt(np.maximum(head[d + 1 :] / head[0] - mean**2, 0)) + 1e-3
     features = Features(mean, scale)
 
-    def normal(x, y):
+    n = FEATURES + 1
+
+    def normal(x, y, half):
         z = features(x)
-        return np.concatenate([(z.T @ z).ravel(), z.T @ y])
+        return np.concatenate([np.concatenate([(z[at].T @ z[at]).ravel(), z[at].T @ y[at], [at.sum()]]) for at in (half == 0, half == 1)])
 
-    total = _sums(rows, normal)
-    n = FEATURES + 1
-    a = total[: n * n].reshape(n, n)
-    weights = np.linalg.solve(a + RIDGE * head[0] / n * np.eye(n), total[n * n :])
+    def solved(total):
+        return np.linalg.solve(total[: n * n].reshape(n, n) + RIDGE * total[-1] / n * np.eye(n), total[n * n : -1])
 
-    def histogram(x, y):
-        s = np.clip(((features(x) @ weights) + 0.5) * BINS / 2, 0, BINS - 1).astype(np.int64)
+    halves = _sums(rows, normal).reshape(2, -1)
+    weights = solved(halves.sum(0))
+    # without rows in one of the halves the weights of all have to do
+    others = [solved(halves[1 - i]) if halves[1 - i][-1] else weights for i in (0, 1)]
+
+    def histogram(x, y, half):
+        z = features(x)
+        s = np.clip((np.where(half == 0, z @ others[0], z @ others[1]) + 0.5) * BINS / 2, 0, BINS - 1).astype(np.int64)
         return np.concatenate([np.bincount(s, minlength=BINS), np.bincount(s, y, BINS)]).astype(np.float64)
 
     bins = _sums(rows, histogram).reshape(2, BINS)

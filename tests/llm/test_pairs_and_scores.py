@@ -372,6 +372,32 @@ def test_personal_data(spark):
     assert pii.personal_data(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_reading_around_digits_equals_reading_the_whole_text(monkeypatch):
+    from quire.llm.tagger import examples, train
+
+    rng, tagger = random.Random(4), train()
+    word = lambda lo, hi: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randint(lo, hi)))
+    texts = ["", "no digit at all " * 50, "9", "a" * 3000 + "@" + "b" * 500]
+    for _ in range(150):
+        at = rng.choice(["@", " @ ", "(@)"])
+        texts.append(" ".join([*(word(1, 9) for _ in range(rng.randint(0, 60))), f"{word(10, 70)}{at}{word(10, 70)}.{word(2, 9)}", *(word(1, 9) for _ in range(rng.randint(0, 60)))]))
+    texts += [" ".join(t for t, _ in examples(8, 100 + i)) for i in range(40)]
+    near = pii.added_spans(texts, tagger, 64)
+    monkeypatch.setattr(pii, "_runs", lambda t: [(0, len(t))] if t else [])
+    assert near == pii.added_spans(texts, tagger) and sum(map(len, near)) > 200
+
+
+def test_cards_and_phones_equal_the_patterns():
+    rng = random.Random(8)
+    for n in range(6000):
+        s = "".join(rng.choice("0123456789" + (" -" if n % 2 else "+() .-a")) for _ in range(rng.randint(0, 60)))
+        got = pii.base_spans(s)
+        digits = lambda t: [int(c) for c in t if c.isdigit()]
+        luhn = lambda d: sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(d[::-1])) % 10 == 0
+        assert [x for x in got if x[0] == 2] == [(2, *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", s) if 16 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+        assert [x for x in got if x[0] == 3] == [(3, *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", s) if 8 <= len(digits(m[0])) <= 15]
+
+
 def good_and_bad(n=400, seed=3):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8)))
@@ -403,6 +429,30 @@ def test_quality_without_labels_or_rows(spark):
     assert quality.quality_scores(docs.limit(0), none).count() == 0
 
 
+def test_quality_weights_equal_a_dense_solve(spark):
+    docs, labels = good_and_bad(90)
+    docs += [(500, "long " * 40_000), (501, ""), (3, docs[3][1])]
+    labels += [(500, 0), (501, 0), (3, 1 - labels[3][1])]  # of a repeated label the greater counts
+    model = quality.fit(spark.createDataFrame(docs, DOCS).repartition(5), spark.createDataFrame(labels, "doc_id long, quality int"), F.lit(True))
+    truth: dict = {}
+    for i, y in labels:
+        truth[i] = max(y, truth.get(i, 0))
+    import pyarrow as pa
+
+    x = quality.statistics(pa.array([t for _, t in docs]))
+    y = np.array([truth[i] for i, _ in docs], float)
+    assert np.allclose(model.features.mean, x.mean(0)) and np.allclose(model.features.scale, x.std(0) + 1e-3, atol=1e-6)
+    z = model.features(x)
+    want = np.linalg.solve(z.T @ z + quality.RIDGE * len(x) / z.shape[1] * np.eye(z.shape[1]), z.T @ y)
+    assert np.allclose(z @ model.weights, z @ want, atol=1e-6)
+    # random features approximate the Gaussian kernel of the clipped, standardised statistics
+    s = np.clip((x - model.features.mean) / model.features.scale, -6, 6)
+    kernel = np.exp(-((s[:, None] - s[None]) ** 2).sum(2) * quality.WIDTH**2 / 2)
+    assert np.abs(z[:, :-1] @ z[:, :-1].T - kernel).mean() < 0.08
+    got = {r.doc_id: r.score for r in quality.scored(spark.createDataFrame(docs, DOCS), model).collect()}
+    assert all(math.isclose(got[i], v, abs_tol=1e-9) for (i, _), v in zip(docs, model(x), strict=True))
+
+
 def test_isotonic():
     x, y = quality.isotonic(np.arange(5.0), np.array([0.0, 1.0, 0.0, 1.0, 1.0]), np.ones(5))
     assert np.all(np.diff(y) >= 0) and np.allclose(y, [0, 0.5, 1.0]) and np.allclose(x, [0, 1.5, 3.5])
