@@ -34,7 +34,7 @@ from quire.llm.words import shingle_hashes, utf8, word_hashes
 
 RUN = 8
 #: A host is dealt into groups of so many pages and characters of html at least.
-GROUP_PAGES, GROUP_CHARS = 200, 4_000_000
+GROUP_PAGES, GROUP_CHARS = 200, 2_000_000
 #: Distinct pages, and share of a group's pages, that make a run outside an article boilerplate, and a block inside.
 OUTSIDE, INSIDE = (3, 0.05), (4, 0.5)
 
@@ -238,7 +238,7 @@ def _counted(group: pd.DataFrame) -> list[str]:
 
 
 def candidates(group: pd.DataFrame) -> pd.DataFrame:
-    """(host, run, pages): the runs that are on a share of OUTSIDE of a group's distinct pages, and with a null run their number."""
+    """(host, run): the runs that are on a share of OUTSIDE of a group's distinct pages."""
     texts = _counted(group)
     h, at, _, _ = word_hashes(*utf8(pa.array(texts, pa.large_string())))
     page = np.repeat(np.arange(len(texts)), np.diff(at))
@@ -249,24 +249,22 @@ def candidates(group: pd.DataFrame) -> pd.DataFrame:
         # a class by the hash of its first run
         _, first = np.unique(rank[has], return_index=True)
         found = hashes[np.flatnonzero(has)[first[count >= OUTSIDE[1] * len(texts)]]].view(np.int64)
-    run_col = pd.array(np.append(found, 0), dtype="Int64")
-    run_col[-1] = pd.NA
-    return pd.DataFrame({"host": group["host"].iloc[0], "run": run_col, "pages": np.append(np.zeros(len(found), np.int64), len(texts))})
+    return pd.DataFrame({"host": group["host"].iloc[0], "run": found})
 
 
 def counts(group: pd.DataFrame, named: pd.DataFrame) -> pd.DataFrame:
-    """(host, run, n): the distinct pages of a group that have each of the host's candidate runs."""
+    """(host, run, n, pages) for each of the host's candidate runs: the distinct pages of a group that have it, and all of them."""
     if not len(group) or not len(named):
-        return pd.DataFrame({"host": [], "run": [], "n": []})
+        return pd.DataFrame({"host": [], "run": [], "n": [], "pages": []})
     wanted = np.sort(named["run"].to_numpy(np.int64).view(np.uint64))
-    found = []
-    for text in _counted(group):
+    found, texts = [np.zeros(0, np.int64)], _counted(group)
+    for text in texts:
         hashes, has = runs_of([text])
         hashes = np.unique(hashes[has])
         at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
         found.append(at[wanted[at] == hashes])
-    n = np.bincount(np.concatenate([np.zeros(0, np.int64), *found]), minlength=len(wanted))
-    return pd.DataFrame({"host": group["host"].iloc[0], "run": wanted.view(np.int64), "n": n})[n > 0]
+    n = np.bincount(np.concatenate(found), minlength=len(wanted))
+    return pd.DataFrame({"host": group["host"].iloc[0], "run": wanted.view(np.int64), "n": n, "pages": len(texts)})
 
 
 def frequent(rows: DataFrame, spread: DataFrame) -> DataFrame:
@@ -274,11 +272,9 @@ def frequent(rows: DataFrame, spread: DataFrame) -> DataFrame:
     parts = spread.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("host", "part")
     # a condition that isn't deterministic stays above the exchange, which all passes share
     many = rows.filter(F.col("groups") + F.floor(F.rand()) > 1).groupBy("host", "part")
-    named = many.applyInPandas(candidates, "host string, run long, pages long")
-    total = named.filter("run IS NULL").groupBy("host").agg(F.sum("pages").alias("pages"))
-    runs = named.filter("run IS NOT NULL").select("host", "run").distinct()
-    found = many.cogroup(runs.join(parts, "host").groupBy("host", "part")).applyInPandas(counts, "host string, run long, n long")
-    found = found.groupBy("host", "run").agg(F.sum("n").alias("n")).join(total, "host").filter((F.col("n") >= OUTSIDE[0]) & (F.col("n") >= OUTSIDE[1] * F.col("pages")))
+    named = many.applyInPandas(candidates, "host string, run long").distinct()
+    found = many.cogroup(named.join(parts, "host").groupBy("host", "part")).applyInPandas(counts, "host string, run long, n long, pages long")
+    found = found.groupBy("host", "run").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages")).filter((F.col("n") >= OUTSIDE[0]) & (F.col("n") >= OUTSIDE[1] * F.col("pages")))
     inside = (F.col("n") >= INSIDE[0]) & (F.col("n") >= INSIDE[1] * F.col("pages"))
     return found.select("host", "run", inside.alias("inside")).join(parts, "host").select("host", "part", "run", "inside")
 
