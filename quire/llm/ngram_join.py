@@ -14,10 +14,14 @@ first, drives the join:
 3. Pairs are verified by vertical partitioning: the global order is cut into
    fragments, the overlap of each pair is counted within each fragment
    separately, and the counts are summed per pair.
-4. Within the larger keys, the pairs between classes that are not yet connected
-   are counted too, except those that the triangle inequality of the Jaccard
-   distance to a shared leader rules out, and are verified likewise. So no link
-   between two components is lost, while copies are not expanded into all pairs.
+4. Of the larger keys, those whose classes are not yet connected are searched further.
+   Each class meets the leaders of its keys, and is described by what it lacks of a
+   leader's n-grams and what it has besides. Classes that met few others at a leader are
+   compared there. Of the others, two of different components can only link if they
+   share so many of these differences that the differences have short prefixes again;
+   those that share a difference and whose counts and places allow a link are verified.
+   So no link between two components is lost, while copies are not expanded into all
+   pairs.
 
 Keys whose sketched count is high are dealt out over many tasks; a class is sent
 once per key and input partition however many copies it has there.
@@ -35,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.components import connected_components
-from quire.llm.shared import columns, kept, shuffle_parts
+from quire.llm.shared import columns, shuffle_parts, stored
 from quire.llm.words import mix, shingle_sets
 
 U64 = np.uint64
@@ -49,8 +53,12 @@ SMALL_KEY = 16
 AGREE = 3
 #: Parts that a key with a high count is dealt to.
 HOT_PARTS = 64
-#: Classes of one key that are compared with each other in one task.
-TILE = 512
+#: Classes that met one leader are compared at once if they are so few, and their sets so many bytes, at most.
+FEW, HELD = 64, 64 << 20
+#: Classes that met one leader and meet in one task for each difference.
+MEET = 1 << 16
+#: Classes of one difference that are compared with each other in one task, where they are too many for one.
+TILE = 4096
 FRAGMENTS = 4
 #: Partners of one class that are verified in one task.
 PARTNERS = 512
@@ -70,21 +78,15 @@ def _need(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     return np.minimum(AGREE, -(-(na + nb) * SHARE[0] // (SHARE[0] + SHARE[1])))
 
 
-def _need_all(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Keys that two linked sets share at least, when all their shared keys are counted.
-
-    What they have in common beyond keys lies behind the keys of the one whose keys end first.
-    """
-    most = lambda n: n - np.minimum(n, n - -(-n * SHARE[0] // SHARE[1]) + AGREE)
-    return np.maximum(1, -(-(na + nb) * SHARE[0] // (SHARE[0] + SHARE[1])) - np.maximum(most(na), most(nb)))
-
-
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> U64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+CLASS = ["doc_id", "text_hash", "n_shingles", "node", "piece", "counts"]
+
+
 def classes(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, node) per document, and the pieces of the sketch as rows with `counts`."""
+    """(doc_id, text_hash, n_shingles, node) per document, and the pieces of the sketch as rows with `counts`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = np.zeros(1 << SKETCH_BITS, np.uint32), set()
@@ -96,12 +98,12 @@ def classes(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 if len(s) and nodes[-1] not in seen:
                     seen.add(nodes[-1])
                     np.add.at(sketch, _slot(s), 1)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], ["doc_id", "n_shingles", "node", "piece", "counts"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_hash"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], CLASS)
         if seen:
             none = pa.nulls(PIECES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(PIECES), pa.int32()), pa.array([zlib.compress(np.minimum(x, 65535).astype(np.uint16).tobytes(), 1) for x in np.split(sketch, PIECES)], pa.binary())], ["doc_id", "n_shingles", "node", "piece", "counts"])
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(PIECES), pa.int32()), pa.array([zlib.compress(np.minimum(x, 65535).astype(np.uint16).tobytes(), 1) for x in np.split(sketch, PIECES)], pa.binary())], CLASS)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, piece int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long, piece int, counts binary")
 
 
 def sketch(found: DataFrame) -> np.ndarray:
@@ -293,7 +295,7 @@ def _led(proposed: DataFrame) -> DataFrame:
 
     band = lambda n: F.floor(F.log(n) / np.log(SHARE[1] / SHARE[0]))
     leaders = proposed.filter("kind = 2").select("key", "node", "n", "pos").repartition(shuffle_parts(proposed.sparkSession), "key").mapInArrow(run, "key long, a long, n_a int")
-    leaders = leaders.withColumn("band", band(F.col("n_a")))
+    leaders = stored(leaders.withColumn("band", band(F.col("n_a"))))
     rows = proposed.filter("kind = 1").select("key", F.col("node").alias("b"), F.col("n").alias("n_b")).withColumn("band", band(F.col("n_b")))
     # a leader is compared with the next larger band too, so that a group across a border is one
     wide = leaders.union(leaders.withColumn("band", F.col("band") + 1))
@@ -302,16 +304,17 @@ def _led(proposed: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need").alias("need"))
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(node, n, fragment, hashes) of the wanted classes; a fixed-size filter spares sending most others."""
-    wanted = _membership(nodes)
+def sets_of(docs: DataFrame, own: DataFrame, nodes: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """(node, n, fragment, hashes) of the wanted classes; a filter over their texts' hashes spares reading most others."""
+    wanted = _membership(stored(own.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
             rows = []
-            for s in shingle_sets(b["text"], k):
-                if not len(s) or (node := _node(s)) in seen or not wanted(np.array([node]))[0]:
+            some = b.filter(pa.array(wanted(b["text_hash"].to_numpy())))
+            for s in shingle_sets(some["text"], k):
+                if not len(s) or (node := _node(s)) in seen:
                     continue
                 seen.add(node)
                 cut = np.searchsorted(s, [U64(f << (64 - FRAGMENTS.bit_length() + 1)) for f in range(1, FRAGMENTS)])
@@ -330,13 +333,14 @@ def _set_rows(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(f, pa.int32()), pa.array(x, pa.binary())], ["node", "n", "fragment", "hashes"])
 
 
-def _membership(nodes: DataFrame, bits: int = 23, pieces: int = 32):
-    """A Bloom filter of 2 ** bits bits over the column node. What it lets through too much, the join drops."""
+def _membership(texts: DataFrame, pieces: int = 32):
+    """A Bloom filter over the column text_hash, of 16 bits for each but 2 ** 20 to 2 ** 27 in all. What it lets through too much, the join drops."""
+    bits = min(27, max(20, 4 + texts.count().bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << bits, bool)
         for b in batches:
-            for at in _places(b["node"].to_numpy(), bits):
+            for at in _places(b["text_hash"].to_numpy(), bits):
                 table[at] = True
         rows = [(p, x.tobytes()) for p, x in enumerate(np.split(np.packbits(table), pieces)) if x.any()]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["piece", "bits"])
@@ -350,7 +354,7 @@ def _membership(nodes: DataFrame, bits: int = 23, pieces: int = 32):
 
     packed = np.zeros((1 << bits) // 8, np.uint8)
     size = len(packed) // pieces
-    for r in nodes.mapInArrow(run, "piece int, bits binary").repartition(pieces, "piece").mapInArrow(either, "piece int, bits binary").collect():
+    for r in texts.select("text_hash").mapInArrow(run, "piece int, bits binary").repartition(pieces, "piece").mapInArrow(either, "piece int, bits binary").collect():
         packed[r.piece * size : (r.piece + 1) * size] = np.frombuffer(r["bits"], np.uint8)
 
     def wanted(x: np.ndarray) -> np.ndarray:
@@ -364,27 +368,26 @@ def _membership(nodes: DataFrame, bits: int = 23, pieces: int = 32):
 
 def _places(x: np.ndarray, bits: int):
     h = mix(x.view(U64))
-    for shift in (0, 20, 40):
+    for shift in (0, 18, 36):
         yield ((h >> U64(shift)) & U64((1 << bits) - 1)).astype(np.int64)
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, both, n_a, n_b) of the distinct pairs (a, b), `both` summed over the fragments.
+    """(a, b, both, n_a, n_b) of the pairs (a, b), distinct and of different nodes, `both` summed over the fragments.
 
     A node with many partners is sent to as many tasks as they fill. Within a task
     the rows are sorted, so one set of the many is in memory at a time.
     """
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
     both = pairs.select("a", "b").union(pairs.select("b", "a")).toDF("a", "b")
-    degree = both.groupBy("a").agg(F.count("*").alias("degree"))
+    degree = stored(both.groupBy("a").agg(F.count("*").alias("degree")))
     # the end with more partners is the one that stays in memory
     pairs = pairs.join(degree, "a").join(degree.select(F.col("a").alias("b"), F.col("degree").alias("degree_b")), "b")
     swap = F.col("degree_b") > F.col("degree")
     pairs = pairs.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"), F.greatest("degree", "degree_b").alias("degree"))
-    parts = F.ceil(F.col("degree") / PARTNERS).cast("int")
-    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("b"), parts).cast("int"))
+    # stored, so that the planner knows how few they are
+    pairs = stored(pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("degree") / PARTNERS)).cast("int").alias("part")))
     a = pairs.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "part", "fragment", F.lit(None).cast("long").alias("b"), "n", "hashes")
-    b = pairs.select("a", "part", "b").join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "fragment", "b", "n", "hashes")
+    b = pairs.join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "fragment", "b", "n", "hashes")
     dealt = a.union(b).repartition(shuffle_parts(pairs.sparkSession), "a", "part", "fragment").sortWithinPartitions("a", "part", "fragment", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,80 +417,266 @@ def _linked(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("both") * SHARE[1] >= (F.col("n_a") + F.col("n_b") - F.col("both")) * SHARE[0]).select("a", "b")
 
 
-def _across(proposed: DataFrame, parts: DataFrame, scored: DataFrame, small: DataFrame) -> DataFrame:
-    """Pairs in different components that share enough keys, larger ones too, and that the distances to a shared leader don't rule out."""
-    leader = scored.select(F.col("b").alias("node"), F.struct((1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("away"), F.col("a").alias("leader"), "both").alias("r"))
-    leader = leader.union(scored.select(F.col("a").alias("node"), F.struct(F.lit(0.0).alias("away"), F.col("a").alias("leader"), F.col("n_a").alias("both")).alias("r")))
-    # one leader for each node, the same for as many nodes as possible: the one of least hash
-    ref = leader.groupBy("node").agg(F.min(F.struct(F.xxhash64("r.leader"), "r.leader", "r.away", "r.both")).alias("r")).select("node", "r.leader", "r.away", F.col("r.both").alias("of_leader"))
-    # of two sets, the one whose keys end first has in common with the other only keys that are shared, and what lies behind its keys
-    shared = proposed.filter("kind = 4").groupBy("node").agg(F.sum("pos").cast("int").alias("shared"))
-    rest = proposed.filter("kind = 1").select("key", "node", "n", "pos").join(shared, "node")
-    prefix = F.expr(f"least(n, n - (n * {SHARE[0]} + {SHARE[1] - 1}) div {SHARE[1]} + {AGREE})")
-    rest = rest.withColumn("room", (F.col("n") - prefix + F.col("shared")).cast("int"))
-    rest = rest.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = rest.join(ref, "node", "left")
-    # keys of one group of copies are compared in the same tasks, where each pair is put out once with its count
-    mixed = rest.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.coalesce(F.min("leader"), F.col("key")).alias("unit")).filter("lo != hi").select("key", "m", "unit")
-    tiles = mixed.groupBy("unit").agg(F.ceil(F.max("m") / TILE).cast("int").alias("tiles"))
-    rows = rest.join(mixed.join(tiles, "unit"), "key").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("lo", F.least("tile", "with")).withColumn("hi", F.greatest("tile", "with"))
+def _apart(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """The (key, node, n, pos) of keys with classes of several components, with component."""
+    rows = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = stored(rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key"))
+    return rows.join(mixed, "key", "left_semi").select("key", "node", "n", "pos", "component")
+
+
+def _elected(rows: DataFrame) -> DataFrame:
+    """Distinct (leader, leader_component, node, component): the classes of each key with its leader in their band of sizes, and with that of the band below.
+
+    Two classes that link are in one band or in neighbouring ones, so they have a leader
+    in common. The class with the fewest rarer n-grams leads: of near copies that is the
+    one closest to all.
+    """
+    rows = rows.withColumn("band", F.floor(F.log("n") / np.log(SHARE[1] / SHARE[0])))
+    first = F.min(F.struct("pos", F.xxhash64("node").alias("h"), "node", "component"))
+    leaders = stored(rows.groupBy("key", "band").agg(first.alias("l")).select("key", "band", F.col("l.node").alias("leader"), F.col("l.component").alias("leader_component")))
+    leaders = leaders.union(leaders.withColumn("band", F.col("band") + 1))
+    return rows.join(leaders, ["key", "band"]).filter("leader != node").select("leader", "leader_component", "node", "component").distinct()
+
+
+DIFFERENCES = "a long, b long, token long, part int, n long, component long, pos int, size int, weight long, base long"
+
+
+class _Met:
+    """The classes that met one leader, in one task: their links, or the keys of their differences.
+
+    A class that lacks m of the leader's l n-grams and has x others differs from it by
+    weight = 100 m + 75 x. It links with the leader if weight <= base = 25 l, and with
+    another class if both share (weight + weight - base) / 175 differences at least. So a
+    class within the base, which only needs those beyond it, has more than weight / 175 of
+    its differences in common with them, and one beyond it at least (weight - base) / 100.
+    """
+
+    def __init__(self, leader: int, mine: np.ndarray, wide: int):
+        self.leader, self.mine, self.wide = leader, mine, wide
+        self.base = (SHARE[1] - SHARE[0]) * len(mine)
+        self.held: list[tuple] | None = [] if wide == 0 else None
+        self.size = 0
+        self.out: list[list] = [[] for _ in DIFFERENCES.split(", ")]
+        self.rows = 0
+
+    def put(self, *cols) -> None:
+        size = max(len(c) for c in cols if isinstance(c, np.ndarray))
+        for o, c in zip(self.out, cols, strict=True):
+            o.append(c if isinstance(c, np.ndarray) else np.full(size, c, np.int64))
+        self.rows += size
+
+    def link(self, a: int, b: int) -> None:
+        self.put(np.array([a], np.int64), b, 0, 0, 0, 0, -1, 0, 0, 0)
+
+    def add(self, leader_component: int, node: int, component: int, s: np.ndarray) -> None:
+        where = np.searchsorted(self.mine, s)
+        where[where == len(self.mine)] = 0
+        known = self.mine[where] == s
+        lacking = np.ones(len(self.mine), bool)
+        lacking[where[known]] = False
+        extra, missing = s[~known], self.mine[lacking]
+        weight = SHARE[1] * len(missing) + SHARE[0] * len(extra)
+        if weight <= self.base and component != leader_component:
+            self.link(self.leader, node)
+        c = (node, component, len(s), extra, missing, weight)
+        if self.held is None:
+            self.tell(*c)
+            return
+        self.held.append(c)
+        self.size += 8 * (len(extra) + len(missing))
+        if len(self.held) > FEW or self.size > HELD:
+            for c in self.held:
+                self.tell(*c)
+            self.held = None
+
+    def tell(self, node: int, component: int, n: int, extra: np.ndarray, missing: np.ndarray, weight: int) -> None:
+        """A row for each key of the differences. Those that aren't the leader's come first: they are the rare ones."""
+        size = len(extra) + len(missing)
+        need = weight // sum(SHARE) + 1 if weight <= self.base else max(1, -(-(weight - self.base) // SHARE[1]))
+        keys = size - need + 1
+        if keys > 0:
+            token = mix(np.concatenate([np.sort(mix(extra)), np.sort(mix(~missing))])[:keys] ^ mix(np.array([self.leader], np.int64).view(U64)))
+            part = 0 if self.wide <= 1 else 1 + int(mix(np.array([node], np.int64).view(U64))[0] % U64(self.wide))
+            self.put(node, 0, token.view(np.int64), part, n, component, np.arange(keys), size, weight, self.base)
+
+    def compare(self) -> None:
+        """The links between the few classes held."""
+        held, self.held = self.held or [], []
+        for x, (a, ca, na, ea, ma, wa) in enumerate(held):
+            for b, cb, nb, eb, mb, wb in held[:x]:
+                need = max(1, -(-(wa + wb - self.base) // sum(SHARE)))
+                if ca == cb or SHARE[1] * min(na, nb) < SHARE[0] * max(na, nb) or need > min(len(ea), len(eb)) + min(len(ma), len(mb)):
+                    continue
+                if len(np.intersect1d(ea, eb, assume_unique=True)) + len(np.intersect1d(ma, mb, assume_unique=True)) >= need:
+                    self.link(a, b)
+
+    def taken(self) -> pa.RecordBatch:
+        kinds = DIFFERENCES.split(", ")
+        cols = [np.concatenate([np.zeros(0, np.int64), *c]) for c in self.out]
+        self.out, self.rows = [[] for _ in kinds], 0
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()).cast(pa.int32() if " int" in f else pa.int64()) for c, f in zip(cols, kinds, strict=True)], [f.split()[0] for f in kinds])
+
+
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """From (leader, leader_component, node, component): links (a, b) between components, with pos -1, and rows with the keys (token) of the differences of a class (a)."""
+    degree = stored(pairs.groupBy("leader").agg(F.count("*").alias("degree")))
+    wide = F.when(F.col("degree") <= F.least(F.lit(FEW), F.lit(PARTNERS)), 0).otherwise(F.ceil(F.col("degree") / MEET)).cast("int")
+    at = pairs.join(degree, "leader").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("degree") / PARTNERS)).cast("int")).withColumn("wide", wide)
+    at = stored(at.drop("degree"))
+    none = lambda t: F.lit(None).cast(t)
+    a = at.select("leader", "part", "wide").distinct().join(sets.withColumnRenamed("node", "leader"), "leader").select("leader", "part", "wide", none("long").alias("node"), "fragment", "n", "hashes", none("long").alias("leader_component"), none("long").alias("component"))
+    b = at.join(sets, "node").select("leader", "part", "wide", "node", "fragment", "n", "hashes", "leader_component", "component")
+    dealt = a.union(b).repartition(shuffle_parts(pairs.sparkSession), "leader", "part").sortWithinPartitions("leader", "part", F.col("node").asc_nulls_first(), "fragment")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held, found = None, [], []
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            g = np.stack([t[c].to_numpy() for c in ("unit", "lo", "hi", "key")], 1)
-            cuts = np.flatnonzero(np.any(g[1:] != g[:-1], axis=1)) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(g)], strict=True):
-                if lo == hi:
+        now, met, pieces = None, None, []
+        for batch in batches:
+            for leader, part, wide, node, n, lc, comp, x in zip(*(batch[c].to_pylist() for c in ("leader", "part", "wide", "node", "n", "leader_component", "component")), batch["hashes"], strict=True):
+                pieces.append(np.frombuffer(x.as_buffer(), U64))
+                if len(pieces) < FRAGMENTS:
                     continue
-                if (mine := tuple(g[lo])) != group:
-                    found += compare(held)
-                    if group is not None and mine[:3] != group[:3]:
-                        yield from put(found)
-                        found = []
-                    group, held = mine, []
-                held.append(t.slice(lo, hi - lo))
-        yield from put(found + compare(held))
-
-    def put(found):
-        if found:
-            a, b, need = (np.concatenate(x) for x in zip(*found, strict=True))
-            a, b, count, need = _counted(a, b, need)
-            for at in range(0, len(a), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]).cast(pa.int64()) for x in (a, b, count, need)], ["a", "b", "n", "need"])
-
-    def compare(held):
-        if not held:
-            return []
-        t = pa.concat_tables(held)
-        node, n, pos, comp, tile, room = (t[c].to_numpy() for c in ("node", "n", "pos", "component", "tile", "room"))
-        lead, away, mine = t["leader"].fill_null(0).to_numpy(), t["away"].fill_null(0.0).to_numpy(), t["of_leader"].fill_null(0).to_numpy()
-        lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
-        left, right = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
-        out = []
-        for i in left:
-            j = right if lo != hi else right[node[right] > node[i]]
-            j = j[comp[j] != comp[i]]
-            # room holds for the one whose keys end first: a key of the other may lie behind them
-            most = np.maximum(room[i], room[j])
-            # with a shared leader: what both have of it, and what both may share besides
-            besides = np.minimum(mine[i], mine[j]) + np.minimum(n[i] - mine[i], n[j] - mine[j])
-            most = np.where((lead[j] == lead[i]) & (lead[i] != 0), np.minimum(besides, most), most)
-            j = j[_fits(n[i], n[j], pos[i], pos[j], most)]
-            far = (lead[j] == lead[i]) & (lead[i] != 0) & (np.abs(away[j] - away[i]) > 0.25 + 1e-9)
-            j = j[~far]
-            out.append(np.stack([np.full(len(j), i), j], 1))
-        i, j = np.concatenate(out).T if out else np.zeros((2, 0), np.int64)
-        return [(node[i], node[j], _need_all(n[i], n[j]))]
-
-    rows = rows.select("unit", "key", "lo", "hi", "tile", "node", "n", "pos", "room", "component", "leader", "away", "of_leader")
-    dealt = rows.repartition(shuffle_parts(proposed.sparkSession), "unit", "lo", "hi").sortWithinPartitions("unit", "lo", "hi", "key")
-    found = dealt.mapInArrow(run, "a long, b long, n long, need long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
-    found = found.join(small.select("a", "b", "small"), ["a", "b"], "left").filter(F.col("n") + F.coalesce("small", F.lit(0)) >= F.col("need"))
-    done = scored.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return found.select("a", "b").join(done, ["a", "b"], "left_anti")
+                s, pieces = np.concatenate(pieces), []
+                if len(s) != n:
+                    raise RuntimeError(f"{len(s)} of {n} n-grams of {leader if node is None else node}")
+                if node is None:
+                    if met:
+                        met.compare()
+                        yield met.taken()
+                    now, met = (leader, part), _Met(leader, s, wide)
+                    continue
+                if now != (leader, part):
+                    raise RuntimeError(f"no set of {leader} to compare with")
+                met.add(lc, node, comp, s)
+                if met.rows > 100_000:
+                    yield met.taken()
+        if met:
+            met.compare()
+            yield met.taken()
+
+    return dealt.mapInArrow(run, DIFFERENCES)
+
+
+def _possible(weight: np.ndarray, least: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Differences that classes must share at least with one of the weight `least` to link with it."""
+    return np.maximum(1, -(-(weight + least - base) // sum(SHARE)))
+
+
+SHARING = ["token", "part", "a", "n", "component", "pos", "size", "weight", "base"]
+
+
+def _sharing(tokens: DataFrame, tiled: bool = False) -> DataFrame:
+    """(kind, a, b, ...) from rows of differences: pairs (a, b) that may link, of kind 0, and the rows of differences dealt to several tasks, of kind 1.
+
+    Only classes that can link with one of another component stay in a group. If `tiled`,
+    part holds the tiles lo and hi of a group that are compared, as 2 ** 16 lo + hi, and tile a row's own.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if not sum(b.num_rows for b in batches):
+            return
+        cols = _read(batches, SHARING + (["tile"] if tiled else []))
+        del batches
+        if not tiled:
+            for lo in range(0, len(dealt := np.flatnonzero(cols[1] > 0)), 100_000):
+                r = dealt[lo : lo + 100_000]
+                yield rows_of(1, cols[2][r], np.zeros(len(r), np.int64), [c[r] for c in cols])
+            cols = [c[cols[1] == 0] for c in cols]
+        by = np.lexsort((cols[2], cols[1], cols[0]))
+        cols = [c[by] for c in cols]
+        for _ in range(4):
+            if not len(cols[0]):
+                return
+            new, m = grouped(cols)
+            token, part, node, n, comp, pos, size, weight, base = cols[:9]
+            of = lambda f, x: np.repeat(f.reduceat(x, new), m)  # noqa: B023, E731
+            beyond = of(np.minimum, np.where(weight > base, weight, np.iinfo(np.int64).max // 4))
+            least = np.where(weight > base, of(np.minimum, weight), beyond)
+            stay = (of(np.minimum, comp) != of(np.maximum, comp)) & (pos <= size - _possible(weight, least, base))
+            if stay.all():
+                break
+            cols = [c[stay] for c in cols]
+        new, m = grouped(cols)
+        for first, size in zip(new.tolist(), m.tolist(), strict=True):
+            yield from pairs([c[first : first + size] for c in cols])
+
+    def grouped(cols):
+        token, part = cols[0], cols[1]
+        new = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (part[1:] != part[:-1])))) if len(token) else np.zeros(0, np.int64)
+        return new, np.diff(np.append(new, len(token)))
+
+    def pairs(cols):
+        # by weight: what a class can link with is then a stretch that ends where the weight is too much for it
+        by = np.argsort(cols[7], kind="stable")
+        _, part, node, n, comp, pos, size, weight, base = (c[by] for c in cols[:9])
+        top = sum(SHARE) * (size - pos) + base - weight
+        ends = np.searchsorted(weight, top, "right")
+        for i in range(len(node)):
+            j = np.arange(i + 1, min(ends[i], len(node)))
+            j = j[(weight[i] <= top[j]) & (comp[j] != comp[i]) & (SHARE[1] * np.minimum(n[i], n[j]) >= SHARE[0] * np.maximum(n[i], n[j]))]
+            need = _possible(weight[j], weight[i], base[j])
+            j = j[np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need]
+            if tiled:
+                tile = cols[9][by]
+                lo, hi = part[0] >> 16, part[0] & 0xFFFF
+                j = j[(np.minimum(tile[i], tile[j]) == lo) & (np.maximum(tile[i], tile[j]) == hi)]
+            if len(j):
+                yield rows_of(0, np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), None)
+
+    def rows_of(kind, a, b, cols) -> pa.RecordBatch:
+        rest = [pa.nulls(len(a), pa.int64()) if cols is None else pa.array(cols[SHARING.index(c)].astype(np.int64)) for c in SHARING if c != "a"]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), *rest], ["kind", "a", "b", *(c for c in SHARING if c != "a")])
+
+    kinds = "kind int, a long, b long, " + ", ".join(f"{c} long" for c in SHARING if c != "a")
+    return tokens.repartition(shuffle_parts(tokens.sparkSession), "token", "part").mapInArrow(run, kinds)
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows of differences that many classes have, without those that can link with none of another component, for the pairs of tiles in which they are compared."""
+    fringe = F.col("weight") > F.col("base")
+    of = stored(rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("weight").alias("least"), F.min(F.when(fringe, F.col("weight"))).alias("beyond")).filter("lo != hi AND beyond IS NOT NULL"))
+    need = F.greatest(F.lit(1), F.ceil((F.col("weight") + F.when(fringe, F.col("least")).otherwise(F.col("beyond")) - F.col("base")) / sum(SHARE)))
+    rows = stored(rows.join(of, "token").filter(F.col("pos") <= F.col("size") - need).select(*SHARING))
+    many = stored(rows.groupBy("token").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")))
+    rows = rows.join(many, "token").withColumn("tile", F.pmod(F.xxhash64("a"), F.col("tiles")).cast("long")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    part = F.least("tile", "with") * (1 << 16) + F.greatest("tile", "with")
+    return rows.withColumn("part", part).select(*SHARING, "tile")
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """`parts` (node, component) with the components that links run between as one."""
+    of = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    now = stored(connected_components(between))
+    moved = parts.join(now.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return moved.union(now.join(parts, "node", "left_anti").select("node", "component"))
+
+
+def _beyond(docs: DataFrame, own: DataFrame, proposed: DataFrame, sets: DataFrame, nodes: DataFrame, parts: DataFrame, k: int) -> DataFrame:
+    """`parts` with the links between classes of different components that share larger keys. `sets` are those of `nodes`."""
+    shared = proposed.filter("kind = 4").groupBy("node").agg(F.sum("pos").alias("shared"))
+    rows = proposed.filter("kind = 1").select("key", "node", F.col("n").cast("long").alias("n"), "pos")
+    # a class that links shares as many keys as this
+    rows = rows.join(shared, "node").filter(F.col("shared") >= F.least(F.lit(AGREE), F.ceil(F.col("n") * SHARE[0] / SHARE[1]))).drop("shared")
+    rows = stored(_apart(rows, parts))
+    if rows.isEmpty():
+        return parts
+    pairs = stored(_elected(rows))
+    late = stored(pairs.select(F.col("leader").alias("node")).union(pairs.select("node")).distinct().join(nodes, "node", "left_anti"))
+    if not late.isEmpty():
+        sets = sets.union(stored(sets_of(docs, own, late, k)))
+    found = stored(_differences(pairs, sets))
+    sharing = stored(_sharing(found.filter("pos >= 0")))
+    near = sharing.filter("kind = 0").select("a", "b")
+    dealt = sharing.filter("kind = 1")
+    if not dealt.isEmpty():
+        near = near.union(_sharing(_tiles(dealt.select(*SHARING)), tiled=True).select("a", "b"))
+    near = stored(near.distinct())
+    links = found.filter("pos < 0").select("a", "b")
+    if not near.isEmpty():
+        links = links.union(_linked(verify(near, sets)))
+    links = stored(links)
+    return parts if links.isEmpty() else stored(_merged(parts, links))
 
 
 def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -500,33 +689,22 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     every other. No rows give no rows. Sets are compared by 64-bit shingle hashes,
     and equal sets found by a 64-bit digest.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = kept(classes(docs, k))
-    own = found.filter("piece is null").select("doc_id", "n_shingles", "node")
-    counts = sketch(found)
-    proposed = kept(propose(keys(docs, counts, k)))
-    pairs = proposed.filter("kind IN (0, 3)").select(F.col("node").alias("a"), F.col("other").alias("b"), F.when(F.col("kind") == 0, F.col("n")).otherwise(0).alias("small"), F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("need"))
-    pairs = pairs.unionByName(_led(proposed).withColumn("small", F.lit(0)))
-    pairs = kept(pairs.groupBy("a", "b").agg(F.sum("small").alias("small"), F.sum("n").alias("n"), F.max("need").alias("need")))
-    small = pairs.filter("small > 0")
-    pairs = pairs.filter("n >= need").select("a", "b")
-    nodes = kept(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    sets = kept(sets_of(docs, nodes, k))
-    scored = kept(verify(pairs, sets))
-    links = _linked(scored)
-    parts = connected_components(links)
-    more = kept(_across(proposed, parts, scored, small))
-    if not more.isEmpty():
-        late = more.select(F.col("a").alias("node")).union(more.select("b")).distinct().join(nodes, "node", "left_anti")
-        sets = sets.union(kept(sets_of(docs, kept(late), k)))
-        links = links.union(_linked(verify(more, sets)))
-        parts = connected_components(links)
-    own_node = own.filter("node is not null")
-    least = own_node.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    least = least.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    ids = least.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = least.join(ids, "component").select("node", "component_id")
-    return own.join(ids, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("text_hash", F.xxhash64("text"))
+    found = stored(classes(docs, k))
+    own = found.filter("piece is null").select("doc_id", "text_hash", "n_shingles", "node")
+    proposed = stored(propose(keys(docs, sketch(found), k)))
+    pairs = proposed.filter("kind IN (0, 3)").select(F.col("node").alias("a"), F.col("other").alias("b"), F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("need"))
+    if not proposed.filter("kind = 2").isEmpty():
+        pairs = pairs.unionByName(_led(proposed))
+    pairs = stored(pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need")).filter("n >= need").select("a", "b"))
+    nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    sets = stored(sets_of(docs, own, nodes, k))
+    parts = stored(connected_components(_linked(verify(pairs, sets))))
+    parts = _beyond(docs, own, proposed, sets, nodes, parts, k)
+    own = own.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # a class alone in its component has documents too, those that are equal
+    ids = own.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return own.join(ids, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def op10_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

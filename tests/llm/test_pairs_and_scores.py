@@ -138,7 +138,9 @@ def test_ngram_join_of_families_around_the_threshold(spark, monkeypatch, seed):
     monkeypatch.setattr(ngram_join, "SMALL_KEY", 2)
     monkeypatch.setattr(ngram_join, "FEW", 2 + seed)
     monkeypatch.setattr(ngram_join, "PARTNERS", 16)
-    monkeypatch.setattr(ngram_join, "MEET", 20 if seed == 3 else 1 << 16)
+    if seed == 3:
+        monkeypatch.setattr(ngram_join, "MEET", 20)
+        monkeypatch.setattr(ngram_join, "TILE", 5)
     rng = random.Random(seed)
     base, rows = [f"w{i}" for i in range(120)], []
 
