@@ -9,15 +9,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.decontaminate import contaminated
-from quire.llm.mixture import mixed
+from quire.llm.decontaminate import without_items
+from quire.llm.mixture import with_copies
 from quire.llm.ngram_join import ngram_jaccard_components
 from quire.llm.pii import redacted
 from quire.llm.quality import FOLDS, accepted, fit
-from quire.llm.shared import documents, held_out, kept, with_checkpoints
+from quire.llm.shared import documents, held_out, stored, with_checkpoints
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,20 +27,24 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays; rows without an id, which can't be named, stay."""
-    found = kept(ngram_jaccard_components(docs))
+    """Of each group of linked documents the one with the least id stays; rows without an id, which can't be named, stay.
+
+    Of rows that repeat an id one stays, the first by the hash of all their columns.
+    """
+    found = stored(ngram_jaccard_components(docs))
     stay = found.filter("doc_id = component_id").select("doc_id")
     again = stay.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    out = docs.join(stay, "doc_id", "left_semi")
-    if not again.isEmpty():  # rows that repeat an id: one of them stays
-        out = out.join(again, "doc_id", "left_anti").unionByName(out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    out = docs.join(stored(stay.distinct()), "doc_id", "left_semi")
+    if not again.isEmpty():
+        first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+        one = out.join(again, "doc_id", "left_semi").withColumn("of its id", F.row_number().over(first)).filter("`of its id` = 1").drop("of its id")
+        out = out.join(again, "doc_id", "left_anti").unionByName(one)
     return out.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    hits = contaminated(docs, documents(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold a benchmark item go, also those without an id."""
+    return without_items(docs, documents(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +55,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, with the copy's number from 1."""
-    # ids are unique by now but for null ones, which share a draw, so the copies are joined by id and source
-    plan = mixed(docs).filter("copies > 0").select("doc_id", F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("none"), "copies").distinct()
-    out = docs.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull()).alias("d").join(plan.alias("p"), F.expr("d.doc_id <=> p.doc_id AND d.s = p.s AND d.none = p.none"))
-    return out.select("d.*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("p.copies"))).alias("copy")).drop("s", "none")
+    out = with_copies(docs).filter("mix.copies > 0")
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix.copies"))).alias("copy"))
 
 
 STAGES = [
