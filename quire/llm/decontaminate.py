@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents
+from quire.llm.shared import columns, documents, stored
 from quire.llm.words import mix, passes, shingle_hashes, utf8, word_hashes
 
 U64 = np.uint64
@@ -31,7 +31,7 @@ SIMILARITY = 0.75
 #: At similarity 0.75 two fingerprints differ in 11 bits of 64 on average, with a deviation of 3.
 RADIUS = 23
 BLOCKS = 8
-#: Bytes of benchmark text up to which its index is sent to every executor.
+#: Bytes of an index that is sent to every executor, about; a larger benchmark is looked for in blocks.
 INDEX_BYTES = 64 << 20
 
 
@@ -42,7 +42,7 @@ class ItemIndex:
         h, at, _, _ = word_hashes(*utf8(pa.array([t or "" for _, t in items], pa.large_string())))
         sizes = np.diff(at)
         use = np.flatnonzero(sizes > 0)
-        self.k, self.ids, self.size = k, np.array([items[i][0] for i in use], np.int64), sizes[use]
+        self.k, self.ids, self.size = k, [items[i][0] for i in use], sizes[use]
         self.shingles = []
         for i in use:
             run, _ = shingle_hashes(h[at[i] : at[i + 1]], np.array([0, sizes[i]]), min(k, sizes[i]))
@@ -147,16 +147,19 @@ def matches(words: np.ndarray, index: ItemIndex, hits: dict[int, np.ndarray], si
     return [(x, s, start, min(int(index.size[x]), len(words))) for x, (s, start) in sorted(best.items())]
 
 
-def index_of(items: DataFrame, id_col: str, text_col: str, limit: int = INDEX_BYTES) -> list[ItemIndex]:
-    """Indexes of blocks of items, each below `limit` bytes of text. Read one block at a time."""
-    blocks, rows, size = [], [], 0
-    for r in items.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")).toLocalIterator():
-        rows.append((r[0], r[1]))
-        size += len(r[1] or "") * 4
-        if size > limit:
-            blocks.append(ItemIndex(rows))
+def indexes(items: DataFrame, limit: int | None = None) -> Iterator[tuple[ItemIndex, bool]]:
+    """Indexes of blocks of items, each of about `limit` bytes at most or one item, and whether it is the only one."""
+    limit, rows, size, only = limit or INDEX_BYTES, [], 0, True
+    for r in items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
+        # eight tables of places, and three numbers for each shingle
+        more = 8 * 8 * 37 + 12 * len(r[1] or "")
+        if rows and size + more > limit:
+            only = False
+            yield ItemIndex(rows), False
             rows, size = [], 0
-    return [*blocks, ItemIndex(rows)]
+        rows.append((r[0], r[1]))
+        size += more
+    yield ItemIndex(rows), only
 
 
 def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -167,44 +170,70 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     than the item, the whole document. Null and empty
     texts match nothing, items of fewer than five words are one shingle, repeated
     items give a row each, repeated documents too, and a null id stays null. Items
-    are a stated query set: a benchmark of more than INDEX_BYTES is joined in blocks.
+    are a stated query set: those of a large benchmark are looked for in blocks, of which
+    the driver has one at a time.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = None
-    for index in index_of(items, "item_id", "text"):
+    for index, only in indexes(items):
         part = _scan(docs, index, similarity)
+        part = part if only else stored(part)
         out = part if out is None else out.union(part)
     return out
 
 
-def _scan(docs: DataFrame, index: ItemIndex, similarity: float) -> DataFrame:
+FOUND = "doc_id long, item_id long, similarity double, first_word long, n_words long"
+
+
+def _hits(col, index: ItemIndex, similarity: float) -> Iterator[tuple[int, list[tuple[int, float, int, int]]]]:
+    """(row, matches) of the rows of a string column that hold an item."""
+    data, at = utf8(col)
     lengths = np.unique(np.minimum(index.size, index.k)).tolist()
+    for lo, hi in passes(at):
+        part = at[lo : hi + 1]
+        h, word_at, _, _ = word_hashes(data[part[0] : part[-1]], part - part[0])
+        hits: dict[int, dict[int, np.ndarray]] = {}
+        for k in lengths:
+            runs, run_at = shingle_hashes(h, word_at, k)
+            near = np.flatnonzero(index.gate[(runs >> U64(44)).astype(np.int64)])
+            place = np.searchsorted(index.known, runs[near])
+            near = near[index.known[np.minimum(place, len(index.known) - 1)] == runs[near]]
+            row = np.searchsorted(run_at, near, "right") - 1
+            for r in np.unique(row):
+                if word_at[r + 1] - word_at[r] >= k:
+                    hits.setdefault(int(r), {})[k] = near[row == r] - run_at[r]
+        for r, found in sorted(hits.items()):
+            if got := matches(h[word_at[r] : word_at[r + 1]], index, found, similarity):
+                yield lo + r, got
+
 
+def _scan(docs: DataFrame, index: ItemIndex, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, out = b["doc_id"], []
-            data, at = utf8(b["text"])
-            for lo, hi in passes(at):
-                part = at[lo : hi + 1]
-                h, word_at, _, _ = word_hashes(data[part[0] : part[-1]], part - part[0])
-                hits: dict[int, dict[int, np.ndarray]] = {}
-                for k in lengths:
-                    runs, run_at = shingle_hashes(h, word_at, k)
-                    near = np.flatnonzero(index.gate[(runs >> U64(44)).astype(np.int64)])
-                    place = np.searchsorted(index.known, runs[near])
-                    near = near[index.known[np.minimum(place, len(index.known) - 1)] == runs[near]]
-                    row = np.searchsorted(run_at, near, "right") - 1
-                    for r in np.unique(row):
-                        if word_at[r + 1] - word_at[r] >= k:
-                            hits.setdefault(int(r), {})[k] = near[row == r] - run_at[r]
-                for r, found in hits.items():
-                    for x, s, first, size in matches(h[word_at[r] : word_at[r + 1]], index, found, similarity):
-                        out.append((ids[lo + r].as_py(), int(index.ids[x]), s, first, size))
+            ids = b["doc_id"]
+            out = [(ids[r].as_py(), index.ids[x], s, first, size) for r, got in _hits(b["text"], index, similarity) for x, s, first, size in got]
             cols = list(zip(*out, strict=True)) or [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "item_id", "similarity", "first_word", "n_words"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [c.split()[0] for c in FOUND.split(", ")])
+
+    return docs.mapInArrow(run, FOUND)
+
+
+def without_items(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of `docs`, all columns, that hold no item, whatever their ids. Nothing is shuffled."""
+
+    def clean(index: ItemIndex):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                stay = np.ones(b.num_rows, bool)
+                stay[[r for r, _ in _hits(b.column(b.schema.get_field_index("text")), index, similarity)]] = False
+                yield b.filter(pa.array(stay))
+
+        return run
 
-    return docs.mapInArrow(run, "doc_id long, item_id long, similarity double, first_word long, n_words long")
+    for index, _ in indexes(items):
+        docs = docs.mapInArrow(clean(index), docs.schema)
+    return docs
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

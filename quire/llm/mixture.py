@@ -51,20 +51,30 @@ def targets(sizes: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float
     return ranked.select("source", "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"))
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = MOST, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies), one row for each row of `docs`.
+def with_copies(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = MOST, seed: str = SEED) -> DataFrame:
+    """`docs`, all columns, with a struct `mix` of size, source_size, target, rate and copies.
 
     Reads doc_id, text and source. Null and empty texts have size 0. Null is a
     source of its own. Rows that repeat an id get the same draw. No rows give no rows.
+    Only one row for each source is sent around, documents stay where they are. Copies are
+    drawn by chance, so what a source of few documents takes may miss its target by as
+    much as some of its documents.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, total, most)
-    # one row for each source, joined null-safe; Spark picks the side to send by its size
-    out = sized.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull())
-    goal = goal.select(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("none"), "source_size", "target", "rate")
-    out = out.join(goal, ["s", "none"])
-    more = (_unit(seed, F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", "rate", (F.floor("rate") + more).alias("copies"))
+    size = word_count(F.col("text"))
+    goal = targets(docs.select("source", size.alias("size")).groupBy("source").agg(F.sum("size").alias("source_size")), weights, total, most)
+    # joined null-safe: Spark picks the side to send by its size
+    key = lambda c: F.struct(F.coalesce(c, F.lit("")), c.isNull())
+    goal = goal.select(key(F.col("source")).alias("mix_key"), F.struct("source_size", "target", "rate").alias("mix_goal"))
+    out = docs.withColumn("mix_key", key(F.col("source"))).join(goal, "mix_key").drop("mix_key")
+    rate = F.col("mix_goal.rate")
+    more = (_unit(seed, F.col("doc_id")) < rate - F.floor(rate)).cast("long")
+    mix = F.struct(size.alias("size"), "mix_goal.source_size", "mix_goal.target", "mix_goal.rate", (F.floor(rate) + more).alias("copies"))
+    return out.withColumn("mix", mix).drop("mix_goal")
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = MOST, seed: str = SEED) -> DataFrame:
+    """(doc_id, source, size, source_size, target, rate, copies), one row for each row of `docs`; see with_copies."""
+    return with_copies(docs.select("doc_id", "text", "source"), weights, total, most, seed).select("doc_id", "source", "mix.*")
 
 
 def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

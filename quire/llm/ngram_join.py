@@ -386,9 +386,11 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = pairs.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"), F.greatest("degree", "degree_b").alias("degree"))
     # stored, so that the planner knows how few they are
     pairs = stored(pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("degree") / PARTNERS)).cast("int").alias("part")))
-    a = pairs.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "part", "fragment", F.lit(None).cast("long").alias("b"), "n", "hashes")
-    b = pairs.join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "fragment", "b", "n", "hashes")
-    dealt = a.union(b).repartition(shuffle_parts(pairs.sparkSession), "a", "part", "fragment").sortWithinPartitions("a", "part", "fragment", F.col("b").asc_nulls_first())
+    # both ends ask for their sets at once
+    none = F.lit(None).cast("long").alias("b")
+    asked = pairs.select(F.col("a").alias("node"), "a", "part", none).distinct().union(pairs.select(F.col("b").alias("node"), "a", "part", "b"))
+    asked = asked.join(sets, "node").select("a", "part", "fragment", "b", "n", "hashes")
+    dealt = asked.repartition(shuffle_parts(pairs.sparkSession), "a", "part", "fragment").sortWithinPartitions("a", "part", "fragment", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, mine, n_a = None, None, 0
@@ -524,9 +526,10 @@ def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     at = pairs.join(degree, "leader").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("degree") / PARTNERS)).cast("int")).withColumn("wide", wide)
     at = stored(at.drop("degree"))
     none = lambda t: F.lit(None).cast(t)
-    a = at.select("leader", "part", "wide").distinct().join(sets.withColumnRenamed("node", "leader"), "leader").select("leader", "part", "wide", none("long").alias("node"), "fragment", "n", "hashes", none("long").alias("leader_component"), none("long").alias("component"))
-    b = at.join(sets, "node").select("leader", "part", "wide", "node", "fragment", "n", "hashes", "leader_component", "component")
-    dealt = a.union(b).repartition(shuffle_parts(pairs.sparkSession), "leader", "part").sortWithinPartitions("leader", "part", F.col("node").asc_nulls_first(), "fragment")
+    a = at.select(F.col("leader").alias("of"), "leader", "part", "wide", none("long").alias("node"), none("long").alias("leader_component"), none("long").alias("component")).distinct()
+    asked = a.union(at.select(F.col("node").alias("of"), "leader", "part", "wide", "node", "leader_component", "component"))
+    asked = asked.join(sets.withColumnRenamed("node", "of"), "of")
+    dealt = asked.repartition(shuffle_parts(pairs.sparkSession), "leader", "part").sortWithinPartitions("leader", "part", F.col("node").asc_nulls_first(), "fragment")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, met, pieces = None, None, []

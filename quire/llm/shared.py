@@ -13,10 +13,13 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 
 
 def with_checkpoints(spark: SparkSession) -> None:
-    """Name the folder for checkpoint(): the cluster's, or where none is set (tests) a new one."""
+    """Name the folder for checkpoint(): the cluster's, or where none is set a new one, if all tasks run on this machine (tests)."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quire-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc._jsc.sc().isLocal():
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quire-"))
 
 
 def kept(df: DataFrame) -> DataFrame:

@@ -216,6 +216,21 @@ def test_decontamination_of_documents_shorter_than_the_item(spark):
     assert sorted((r.doc_id, r.item_id, round(r.similarity, 9), r.first_word, r.n_words) for r in got) == sorted((d, i, round(x, 9), a, n) for d, i, x, a, n in want)
 
 
+def test_decontamination_by_row_and_by_blocks_of_items(spark, monkeypatch):
+    rng = random.Random(12)
+    text = lambda n: " ".join("".join(rng.choice("abcdef") for _ in range(4)) for _ in range(n))
+    items = [(i if i else None, text(30)) for i in range(6)] + [(9, None), (9, "")]
+    docs = [(1, f"{text(20)} {items[3][1]} {text(20)}"), (None, f"{items[0][1]} {text(5)}"), (None, text(60)), (2, text(40)), (2, f"{text(9)} {items[5][1]}"), (4, None), (5, "")]
+    docs_df, items_df = with_clashes(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    got = [sorted(map(str, ((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_df, items_df).collect()))) for _ in [0] if not monkeypatch.setattr(decontaminate, "INDEX_BYTES", 64 << 20)]
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 6000)
+    assert len(list(decontaminate.indexes(items_df))) > 2
+    got.append(sorted(map(str, ((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_df, items_df).collect()))))
+    assert got == [["(1, 3)", "(2, 5)", "(None, None)"]] * 2
+    left = decontaminate.without_items(docs_df, items_df)
+    assert left.columns == docs_df.columns and sorted(str((r.doc_id, r.text)) for r in left.collect()) == sorted(str(docs[i]) for i in (2, 3, 5, 6))
+
+
 def test_hamming_blocks_miss_nothing_within_the_radius():
     rng = np.random.default_rng(0)
     index = decontaminate.ItemIndex([(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(50)])
