@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quire.functions.text import blank_to_null, trimmed
 
@@ -92,11 +90,3 @@ def request_signature(text: Column, voice: Column, rate: Column, max_chars: Colu
 
 def text_sha256(c: Column) -> Column:
     return F.sha2(c.cast("binary"), 256)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def chunks(text: pd.Series, max_chars: pd.Series) -> pd.Series:
-    """Texts cut into pieces of at most max_chars, see quire.operators.chunks."""
-    from quire.operators.chunks import pack
-
-    return pd.Series([None if t is None else pack(t, int(m)) for t, m in zip(text, max_chars, strict=True)], dtype=object)

@@ -1,57 +1,84 @@
-"""Writing packages: staged, validated, swapped in as a whole, and zipped with a checksum. Driver-side, one book at a time."""
+"""Writing packages and JSON documents. Driver-side, one book at a time.
+
+Each package is a version of its own beside the target, which is a link to the version
+that counts. Moving the link is one step, so whoever reads the target finds the old
+package or the new one, whenever the process ends.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import shutil
+import uuid
 import zipfile
 from collections.abc import Callable, Mapping
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 
+from quire.operators.checks import assert_none
 
-def publish(files: DataFrame, target: str | Path, validate: Callable[[Path], DataFrame], extra: Mapping[str, Path] | None = None) -> Path:
-    """Write (path, content) rows and `extra` files to a directory beside the target, and swap it in if `validate` finds nothing.
 
-    On any failure the target stays as it was and the staged directory is removed.
-    """
-    from quire.operators.checks import assert_none
+def versions_of(target: Path) -> Path:
+    return target.with_name(f"{target.name}.versions")
+
+
+def _point(target: Path, version: Path) -> None:
+    link = target.with_name(f"{target.name}.link-{uuid.uuid4().hex}")
+    link.symlink_to(os.path.relpath(version, target.parent), target_is_directory=True)
+    link.replace(target)
+
 
-    target = Path(target).resolve()
-    staged, old = target.with_name(f".{target.name}.tmp"), target.with_name(f".{target.name}.backup")
-    if target.exists() and not target.is_dir():
+def _settle(target: Path) -> None:
+    """Make the target a link, or nothing: a folder from elsewhere becomes a version, a lost link comes back."""
+    versions = versions_of(target)
+    if target.is_dir() and not target.is_symlink():
+        versions.mkdir(parents=True, exist_ok=True)
+        target.rename(versions / f"taken-{uuid.uuid4().hex}")
+    elif os.path.lexists(target) and not target.is_symlink():
         raise ValueError(f"not a directory: {target}")
-    for d in (staged, old):
-        shutil.rmtree(d, ignore_errors=True)
-    staged.mkdir(parents=True)
+    if not target.exists() and versions.is_dir():
+        whole = sorted((p for p in versions.iterdir() if not p.name.startswith("new-")), key=lambda p: p.stat().st_mtime)
+        if whole:
+            _point(target, whole[-1])
+
+
+def publish(files: DataFrame, target: str | Path, validate: Callable[[Path], DataFrame], extra: Mapping[str, Path] | None = None) -> Path:
+    """Write (path, content) rows and `extra` files as a new version, and point the target to it if `validate` finds nothing.
+
+    On any failure the target stays as it was and the new version is removed. Other versions go once the target has moved.
+    """
+    target = Path(os.path.abspath(target))
+    _settle(target)
+    versions = versions_of(target)
+    name = uuid.uuid4().hex
+    new = versions / f"new-{name}"
+    new.mkdir(parents=True)
     try:
         for r in files.select("path", "content").toLocalIterator():  # one book's files, one at a time
-            (staged / r.path).write_text(r["content"], encoding="utf-8")
-        for name, source in (extra or {}).items():
-            shutil.copyfile(source, staged / name)
-        assert_none(validate(staged))
-        if target.exists():
-            target.rename(old)
-        try:
-            staged.rename(target)
-        except OSError:
-            if old.exists() and not target.exists():
-                old.rename(target)
-            raise
-    finally:
-        shutil.rmtree(staged, ignore_errors=True)
-    shutil.rmtree(old, ignore_errors=True)
+            (new / r.path).write_text(r["content"], encoding="utf-8")
+        for path, source in (extra or {}).items():
+            shutil.copyfile(source, new / path)
+        assert_none(validate(new))
+    except BaseException:
+        shutil.rmtree(new, ignore_errors=True)
+        if not any(versions.iterdir()):
+            versions.rmdir()
+        raise
+    whole = new.rename(versions / f"version-{name}")
+    _point(target, whole)
+    for other in versions.iterdir():
+        if other != whole:
+            shutil.rmtree(other, ignore_errors=True)
     return target
 
 
 def zipped(folder: str | Path, target: str | Path, violations: DataFrame) -> tuple[Path, Path]:
     """A zip of a valid package, members by path, and a file with its SHA-256 and name."""
-    from quire.operators.checks import assert_none
-
     assert_none(violations)
-    folder, target = Path(folder), Path(target)
+    folder, target = Path(folder).resolve(), Path(target)
     target.parent.mkdir(parents=True, exist_ok=True)
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(x for x in folder.rglob("*") if x.is_file()):
@@ -61,18 +88,48 @@ def zipped(folder: str | Path, target: str | Path, violations: DataFrame) -> tup
     return target, sums
 
 
+def verified(archive: str | Path, sums: str | Path) -> list[str]:
+    """What is wrong with a zipped package and its checksum file; nothing for a good one."""
+    archive, wrong = Path(archive), []
+    if not archive.is_file():
+        return [f"no archive: {archive}"]
+    want = dict(reversed(line.split("  ", 1)) for line in Path(sums).read_text(encoding="utf-8").splitlines())
+    if want.get(archive.name) != file_sha256(archive):
+        wrong.append(f"checksum of {archive.name}")
+    try:
+        with zipfile.ZipFile(archive) as z:
+            if bad := z.testzip():
+                wrong.append(f"damaged member {bad}")
+            if z.namelist() != sorted(z.namelist()):
+                wrong.append("members out of order")
+    except zipfile.BadZipFile as e:
+        wrong.append(str(e))
+    return wrong
+
+
 def file_sha256(path: str | Path) -> str:
     with open(path, "rb") as f:
         return hashlib.file_digest(f, "sha256").hexdigest()
 
 
 def write_json(rows: DataFrame, path: str | Path, *drop: str) -> dict:
-    """One nested row as a JSON document, indented by two, non-ASCII characters as they are."""
+    """One nested row as a JSON document, indented by two, null fields left out, non-ASCII characters as they are."""
     value = rows.drop(*drop).toJSON().first()
     value = json.loads(value) if value else {}
+    write_value(value, path)
+    return value
+
+
+def write_values(rows: DataFrame, path: str | Path) -> list[dict]:
+    """The rows of a small report as a JSON array, in their order."""
+    values = [json.loads(v) for v in rows.toJSON().toLocalIterator()]
+    write_value(values, path)
+    return values
+
+
+def write_value(value, path: str | Path) -> None:
     path = Path(path)
     path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_name(f".{path.name}.part")
+    part = path.with_name(f"{path.name}.{uuid.uuid4().hex}")
     part.write_text(json.dumps(value, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
     part.replace(path)
-    return value

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions.ids import clock, duration, isbn_urn, preferred
 from quire.functions.text import xml_escape
 
-# Declarations, namespaces and names of the formats.
+# Fixed values of the standards: declarations, document types, namespaces and names of the formats.
 DECLARATION = '<?xml version="1.0" encoding="utf-8"?>\n'
 DOCTYPES = {
     "dtbook": '<!DOCTYPE dtbook PUBLIC "-//NISO//DTD dtbook 2005-3//EN" "http://www.daisy.org/z3986/2005/dtbook-2005-3.dtd">\n',
@@ -74,7 +74,7 @@ def dtbook(unit_rows: DataFrame, books: DataFrame) -> DataFrame:
     levels = unit_rows.withColumn("xml", xml).groupBy("book_id", "section_ord", "section_id").agg(joined("ord", "xml").alias("units"))
     levels = levels.withColumn("xml", tag("level1", {"id": F.col("section_id")}, F.concat(F.lit("\n"), "units", F.lit("\n"))))
     rows = levels.groupBy("book_id").agg(joined("section_ord", "xml").alias("levels")).join(books, "book_id")
-    metas = [_meta("dtb:uid", F.col("uid")), *[_meta(f"dc:{n}", _field("metadata", k)) for k, n in CORE], _meta("dc:Source", isbn_urn(_field("metadata", "source.isbn"))), _meta("dtb:generator", _field("metadata", "daisy.generator"))]
+    metas = [_meta("dtb:uid", F.col("uid")), *[_meta(f"dc:{n}", _field("metadata", k)) for k, n in CORE], _meta("dc:Source", isbn_urn(_field("metadata", "source.isbn"))), _meta("dtb:generator", _field("metadata", "production.generator"))]
     language = F.coalesce(_field("metadata", "language"), F.lit("vi"))
     book = tag("book", {}, tag("bodymatter", {}, F.concat(F.lit("\n"), "levels", F.lit("\n"))))
     root = tag("dtbook", {"xmlns": NAMESPACES["dtbook"], "version": "2005-3", "xml:lang": language}, F.concat(tag("head", {}, F.concat_ws("", *metas)), book))
@@ -89,7 +89,7 @@ def ncx(found: DataFrame, books: DataFrame) -> DataFrame:
     to = tag("content", {"src": F.concat("section_id", F.lit(".smil#par_"), "section_id", F.lit("_title"))})
     point = tag("navPoint", {"id": F.concat(F.lit("nav_"), "section_id"), "playOrder": F.col("play").cast("string")}, F.concat(tag("navLabel", {}, tag("text", {}, xml_escape(label))), to))
     rows = rows.withColumn("xml", point).groupBy("book_id").agg(joined("play", "xml").alias("points")).join(books, "book_id")
-    metas = [_meta("dtb:uid", F.col("uid")), *[_meta(n, F.lit(v)) for n, v in (("dtb:depth", "1"), ("dtb:totalPageCount", "0"), ("dtb:maxPageNumber", "0"))], _meta("dtb:generator", _field("metadata", "daisy.generator"))]
+    metas = [_meta("dtb:uid", F.col("uid")), *[_meta(n, F.lit(v)) for n, v in (("dtb:depth", "1"), ("dtb:totalPageCount", "0"), ("dtb:maxPageNumber", "0"))], _meta("dtb:generator", _field("metadata", "production.generator"))]
     head = tag("head", {}, F.concat_ws("", *metas))
     titles = F.concat(*[tag(n, {}, tag("text", {}, xml_escape(F.coalesce(F.col(f"metadata.{k}"), F.lit(""))))) for n, k in (("docTitle", "title"), ("docAuthor", "author"))])
     root = tag("ncx", {"xmlns": NAMESPACES["ncx"], "version": "2005-1", "xml:lang": F.coalesce(_field("metadata", "language"), F.lit("vi"))}, F.concat(head, titles, tag("navMap", {}, F.concat(F.lit("\n"), "points", F.lit("\n")))))
@@ -107,7 +107,7 @@ def opf(section_rows: DataFrame, books: DataFrame) -> DataFrame:
     core = [dc(n, _field("metadata", k)) for k, n in CORE]
     core += [dc("Source", isbn_urn(_field("metadata", "source.isbn"))), dc("Identifier", F.col("uid"), {"id": "uid"}), dc("Format", F.lit("ANSI/NISO Z39.86-2005"))]
     extra = [_meta(n, v) for n, v in (("dtb:uid", F.col("uid")), ("dtb:multimediaType", F.lit("audioFullText")), ("dtb:multimediaContent", F.lit("audio,text")), ("dtb:audioFormat", F.lit("MP3")), ("dtb:totalTime", duration(F.col("total_ms"))))]
-    extra += [_meta(n, _field("metadata", p)) for n, p in (("dtb:sourcePublisher", "source.publisher"), ("dtb:sourceDate", "source.date"), ("dtb:sourceEdition", "source.edition"), ("dtb:producer", "daisy.producer"), ("dtb:generator", "daisy.generator"))]
+    extra += [_meta(n, _field("metadata", p)) for n, p in (("dtb:sourcePublisher", "source.publisher"), ("dtb:sourceDate", "source.date"), ("dtb:sourceEdition", "source.edition"), ("dtb:producer", "production.producer"), ("dtb:generator", "production.generator"))]
     meta = tag("metadata", {}, F.concat(tag("dc-metadata", {"xmlns:dc": NAMESPACES["dc"], "xmlns:oebpackage": NAMESPACES["opf"]}, F.concat_ws("", *core)), tag("x-metadata", {}, F.concat_ws("", *extra))))
     fixed = F.concat(*[item(i, h, t) for i, h, t in (("opf", "book.opf", "text/xml"), ("dtbook", "book.xml", "application/x-dtbook+xml"), ("ncx", "book.ncx", "application/x-dtbncx+xml"))])
     root = tag("package", {"xmlns": NAMESPACES["opf"], "unique-identifier": "uid"}, F.concat(meta, tag("manifest", {}, F.concat(fixed, F.lit("\n"), "items")), tag("spine", {}, F.col("refs"))))

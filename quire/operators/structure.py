@@ -45,12 +45,21 @@ def chapter_markers(records: DataFrame, chapters: int = CHAPTERS) -> DataFrame:
     return rows.select("book_id", "number", F.col("ord").alias("marker_ord"), F.col("one.ord").alias("title_ord"), F.col("two.ord").alias("subtitle_ord"), F.col("one.text").alias("title"), F.col("two.text").alias("subtitle"))
 
 
-def marker_violations(markers: DataFrame, chapters: int = CHAPTERS) -> DataFrame:
-    """Books whose markers aren't the numbers from 1 to `chapters` in order."""
+def marker_violations(records: DataFrame, markers: DataFrame, chapters: int = CHAPTERS) -> DataFrame:
+    """Books, of all that have records, whose markers aren't the numbers from 1 to `chapters` in order."""
     found = markers.groupBy("book_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("marker_ord", "number"))), lambda m: m["number"]).alias("numbers"))
+    found = records.select("book_id").distinct().join(found, "book_id", "left").withColumn("numbers", F.coalesce("numbers", F.array().cast("array<int>")))
     wrong = found.filter(F.col("numbers") != F.sequence(F.lit(1), F.lit(chapters)))
     rule = F.when(F.size("numbers") != chapters, "chapter count").otherwise("chapter order")
-    return wrong.select(rule.alias("rule"), F.col("book_id").alias("key"), F.array_join(F.col("numbers").cast("array<string>"), ",").alias("detail"))
+    return wrong.select(rule.alias("rule"), F.col("book_id").cast("string").alias("key"), F.array_join(F.col("numbers").cast("array<string>"), ",").alias("detail"))
+
+
+def introduction_violations(records: DataFrame, found: DataFrame) -> DataFrame:
+    """Books, of all that have records, without an introduction among their sections."""
+    from quire.operators.checks import missing
+
+    books = records.select("book_id").distinct()
+    return missing(books, found.filter("type = 'introduction'").select("book_id"), "book_id", "introduction", "book_id")
 
 
 def introductions(records: DataFrame, markers: DataFrame) -> DataFrame:

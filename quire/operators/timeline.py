@@ -21,6 +21,14 @@ def section_durations(clips: DataFrame, section: str = "section_id") -> DataFram
     return clips.groupBy(section).agg(F.max("clip_end_ms").alias("duration_ms"), F.count("*").alias("units"))
 
 
+def timing_documents(clips: DataFrame) -> DataFrame:
+    """(section_id, section_ord, audio, duration_ms, units): one row for each section, its units in order."""
+    u = F.struct("id", "type", "clip_begin_ms", "clip_end_ms", "duration_ms")
+    units = F.transform(F.array_sort(F.collect_list(F.struct("ord", u.alias("u")))), lambda x: x["u"])
+    rows = clips.groupBy("section_id", "section_ord").agg(F.max("clip_end_ms").alias("duration_ms"), units.alias("units"))
+    return rows.select("section_id", "section_ord", F.concat("section_id", F.lit(".mp3")).alias("audio"), "duration_ms", "units")
+
+
 def signed(requests: DataFrame, text: str, voice: str, rate: str, max_chars: int) -> DataFrame:
     """`requests` with signature and tts_text_sha256, what a cache entry of this request is known by."""
     return requests.withColumn("signature", request_signature(F.col(text), F.lit(voice), F.lit(rate), F.lit(max_chars))).withColumn("tts_text_sha256", text_sha256(F.col(text)))

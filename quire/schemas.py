@@ -14,7 +14,7 @@ RECORDS = f"book_id string, ord long, classes array<string>, text string, images
 BLOCK = "struct<type:string,id:string,display_text:string,src:string,alt:string,needs_alt_review:boolean>"
 METADATA = (
     "struct<title:string,author:string,translator:string,language:string,subject:string,description:string,"
-    "source:struct<publisher:string,date:string,isbn:string,url:string,edition:string,rights:string>,daisy:struct<producer:string,generator:string>>"
+    "source:struct<publisher:string,date:string,isbn:string,url:string,edition:string,rights:string>,production:struct<producer:string,generator:string>>"
 )
 BOOK = f"metadata {METADATA}, sections array<struct<id:string,type:string,number:int,title:string,subtitle:string,blocks:array<{BLOCK}>>>"
 UNIT = "struct<id:string,type:string,display_text:string,tts_text:string>"

@@ -154,7 +154,7 @@ def book_metadata(package: DataFrame, overrides: dict | None = None) -> DataFram
     """
     o = overrides or {}
     source = o.get("source") if isinstance(o.get("source"), dict) and o.get("source") else o
-    daisy = o.get("daisy") if isinstance(o.get("daisy"), dict) else {}
+    production = o.get("production") if isinstance(o.get("production"), dict) else {}
     null = F.lit(None).cast("string")
 
     def value(table: dict, key: str, fallback=null):
@@ -172,6 +172,6 @@ def book_metadata(package: DataFrame, overrides: dict | None = None) -> DataFram
                 value(source, "publisher", F.col("publisher")).alias("publisher"), value(source, "date", F.col("date")).alias("date"), F.coalesce(value(source, "isbn"), F.trim(isbn), top).alias("isbn"),
                 value(source, "url").alias("url"), value(source, "edition").alias("edition"), value(source, "rights", F.col("rights")).alias("rights"),
             ).alias("source"),
-            F.struct(value(daisy, "producer").alias("producer"), value(daisy, "generator").alias("generator")).alias("daisy"),
+            F.struct(value(production, "producer").alias("producer"), value(production, "generator").alias("generator")).alias("production"),
         ).alias("metadata"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quire.schemas import BOOK, MANIFEST, TIMING
 
 
-def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     rows = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
     return rows.withColumn("book_id", F.input_file_name())
 
@@ -21,7 +21,7 @@ def manifests(spark: SparkSession, path: str) -> DataFrame:
     return read(spark, path, MANIFEST)
 
 
-def timings(spark: SparkSession, path: str) -> DataFrame:
+def timings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read(spark, path, TIMING)
 
 

@@ -1,15 +1,17 @@
 """From an archive to a valid package, and packages with one thing broken."""
 
 import io
+import json
+import os
 import zipfile
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import audit, checks, publish, structure, timeline
+from quire.operators import audio, audit, checks, publish, structure, timeline
 from quire.plans import book
-from quire.sources import config, epub
+from quire.sources import config, epub, html
 from quire.sources.html import archive_path, parse
 
 PAGE_1 = """<html><body><p class="block_"><img src="../img/cover.png" alt=""/></p>
@@ -18,7 +20,7 @@ PAGE_2 = """<html><body><p class="block_">1</p><p>&#160;</p><p class="block_">CH
 <p class="block_">2</p><p class="block_">Chuyện hai</p><p class="block_2">Phụ đề hai</p><p class="block_3">Hết <img src="../img/a.png" alt="Một con mèo"/></p></body></html>"""
 OPF = """<package xmlns="http://www.idpf.org/2007/opf" xmlns:opf="http://www.idpf.org/2007/opf" xmlns:dc="http://purl.org/dc/elements/1.1/"><metadata>
 <dc:title> Sách </dc:title><dc:creator>Tác Giả</dc:creator><dc:creator>Người Nào (dịch)</dc:creator><dc:creator opf:role="trl">Thêm</dc:creator><dc:language>vi</dc:language>
-<dc:identifier>x-1</dc:identifier><dc:identifier>978-604-314-015-6</dc:identifier><dc:subject>A</dc:subject><dc:subject>B</dc:subject></metadata>
+<dc:identifier>x-1</dc:identifier><dc:identifier>978-1-2345-6789-7</dc:identifier><dc:subject>A</dc:subject><dc:subject>B</dc:subject></metadata>
 <manifest><item id="z" href="text/a%20b.xhtml" media-type="application/xhtml+xml"/><item id="b" href="text/0.xhtml" media-type="application/xhtml+xml"/><item id="p" href="img/a.png" media-type="image/png"/></manifest>
 <spine><itemref idref="z"/><itemref idref="p"/><itemref idref="b"/></spine></package>"""
 ROOT = '<container xmlns="urn:oasis:names:tc:opendocument:xmlns:container"><rootfiles><rootfile full-path="OPS/book.opf"/></rootfiles></container>'
@@ -39,7 +41,7 @@ def archive(path: Path, **change) -> Path:
 def found(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("epub")
     archive(folder / "one.epub")
-    out = book.extract(spark, str(folder), {"daisy": {"generator": "quire"}}, chapters=2)
+    out = book.extract(spark, str(folder), {"production": {"generator": "quire"}}, chapters=2)
     return {k: v.cache() for k, v in out.items()}
 
 
@@ -48,7 +50,7 @@ def test_extraction(found):
     b = found["books"].first()
     m = b.metadata
     assert (m.title, m.author, m.translator, m.language, m.subject) == ("Sách", "Tác Giả", "Người Nào", "vi", "A; B")
-    assert (m.source.isbn, m.daisy.generator) == ("978-604-314-015-6", "quire")
+    assert (m.source.isbn, m.production.generator) == ("978-1-2345-6789-7", "quire")
     assert [(s.id, s.type, s.number, s.title, s.subtitle) for s in b.sections] == [
         ("introduction", "introduction", None, "GIỚI THIỆU", "Lời đầu"), ("chapter_01", "chapter", 1, "CHUYỆN MỘT", "Phụ đề"), ("chapter_02", "chapter", 2, "Chuyện hai", "Phụ đề hai"),
     ]
@@ -132,11 +134,11 @@ def test_timeline_is_monotone(ready):
 @pytest.fixture(scope="module")
 def built(spark, ready, tmp_path_factory):
     folder = tmp_path_factory.mktemp("package")
-    audio = folder / "a.mp3"
-    audio.write_bytes(b"sound")
+    sound = folder / "a.mp3"
+    sound.write_bytes(b"sound")
     books, units, clips, _ = ready
     sections = ["introduction", "chapter_01", "chapter_02"]
-    return book.build(spark, books, units, clips, {s: audio for s in sections}, folder / "out"), sections
+    return book.build(spark, books, units, clips, {s: sound for s in sections}, folder / "out"), sections
 
 
 def test_package_is_valid_and_zipped(spark, built, tmp_path):
@@ -146,7 +148,7 @@ def test_package_is_valid_and_zipped(spark, built, tmp_path):
     z, sums = publish.zipped(folder, tmp_path / "b.zip", found)
     assert sums.read_text() == f"{publish.file_sha256(z)}  b.zip\n"
     assert zipfile.ZipFile(z).namelist() == sorted(p.name for p in folder.iterdir())
-    assert not list(folder.parent.glob(".out*"))
+    assert len(list(publish.versions_of(folder).iterdir())) == 1
 
 
 MUTATIONS = [
@@ -217,7 +219,149 @@ def test_failed_build_leaves_the_old_package(spark, built):
     bad = spark.createDataFrame([("book.opf", "<broken")], "path string, content string")
     with pytest.raises(checks.ConstraintError):
         publish.publish(bad, folder, lambda p: book.validated(spark, p, []))
-    assert (folder / "book.opf").read_bytes() == before and not list(folder.parent.glob(".out*"))
+    assert (folder / "book.opf").read_bytes() == before and len(list(publish.versions_of(folder).iterdir())) == 1
+
+
+def test_each_validation_reads_the_files_as_they_are(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    rules = lambda: {r.rule for r in book.validated(spark, tmp_path / "p", []).collect()}
+    (tmp_path / "p" / "book.xml").write_text("<a/>")
+    assert "invalid XML" not in rules()
+    (tmp_path / "p" / "book.xml").write_text("<a")
+    assert "invalid XML" in rules()
+    with pytest.raises(NotADirectoryError):
+        book.validated(spark, tmp_path / "none", [])
+
+
+def test_versions_of_a_package(spark, tmp_path):
+    rows = lambda text: spark.createDataFrame([("a.txt", text)], "path string, content string")
+    fine = lambda p: spark.createDataFrame([], "rule string, key string, detail string")
+    target = tmp_path / "out"
+    target.mkdir()
+    (target / "a.txt").write_text("from elsewhere")
+    with pytest.raises(RuntimeError):
+        publish.publish(rows("x"), target, lambda p: (_ for _ in ()).throw(RuntimeError()))
+    assert (target / "a.txt").read_text() == "from elsewhere"
+    for text in ("one", "two"):
+        publish.publish(rows(text), target, fine)
+        assert (target / "a.txt").read_text() == text
+    assert len(list(publish.versions_of(target).iterdir())) == 1
+    target.unlink()  # as if the process had ended between taking a folder over and pointing to it
+    with pytest.raises(RuntimeError):
+        publish.publish(rows("x"), target, lambda p: (_ for _ in ()).throw(RuntimeError()))
+    assert (target / "a.txt").read_text() == "two"
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(ValueError):
+        publish.publish(rows("x"), tmp_path / "file", fine)
+
+
+def test_a_book_without_markers_is_a_violation(spark, tmp_path):
+    page = '<html><body><p class="block_3">Chỉ có chữ.</p></body></html>'
+    archive(tmp_path / "x.epub", **{"OPS/text/a b.xhtml": page, "OPS/text/0.xhtml": page})
+    assert {r.rule for r in book.extract(spark, str(tmp_path), chapters=2)["violations"].collect()} == {"chapter count", "introduction"}
+
+
+def test_html_normalization():
+    tidy = html.normalized
+    assert tidy("<p>Ta\u0302m   ly\u0301</p>") == "<p>Tâm lý</p>"
+    assert tidy('<body><p> &nbsp; </p><p><img src="c.jpg" alt=" A  b "></p></body>') == '<body><p><img src="c.jpg" alt="A b"></p></body>'
+    assert tidy('<p><span class="c">Ông</span> <span lang="en" id="k">không</span>  điên</p>') == '<p>Ông <span lang="en" id="k">không</span> điên</p>'
+    assert tidy("<p> <b>B </b> <strong>S</strong><em>E</em><sup>2</sup><sub>i</sub> </p>") == "<p><b>B </b><strong>S</strong><em>E</em><sup>2</sup><sub>i</sub></p>"
+    assert tidy("<p>one<p>two &lt; 3<div> free  text </div><script>a < b</script>") == "<p>one</p><p>two &lt; 3</p><div> free  text </div><script>a < b</script>"
+    assert tidy(None) is None and tidy("") == ""
+    kept = '<p>x <b>y</b></p>'
+    assert tidy(tidy(kept)) == kept and [p["text"] for p in parse(tidy('<p><span>a</span>  <i>b</i></p><p></p>'))] == ["a b"]
+
+
+def test_audio_that_counts(spark, tmp_path):
+    for name, data in (("a.mp3", b"12345"), ("b.mp3", b""), ("c.mp3", b"bad")):
+        (tmp_path / name).write_bytes(data)
+
+    def probe(data):
+        if data == b"bad":
+            raise ValueError("not audio")
+        return len(data)
+
+    sections = spark.createDataFrame([(x,) for x in "abcd"], "section_id string")
+    got = {r.section_id: r.duration_ms for r in audio.with_audio(sections, audio.audio_files(spark, str(tmp_path), probe)).collect()}
+    assert got == {"a": 5, "b": None, "c": None, "d": None}
+
+
+def test_calls_fill_the_cache_and_tell_what_failed(spark, tmp_path):
+    rows = [("s", 0, 0, "u1", "paragraph", "Một. Hai.", "Một. Hai."), ("s", 0, 1, "u2", "paragraph", "hỏng", "hỏng"), ("s", 0, 2, "u3", "paragraph", "Một.", "Một.")]
+    units = spark.createDataFrame(rows, "section_id string, section_ord int, ord int, id string, type string, display_text string, tts_text string")
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    folder = str(log)
+
+    def call(text, voice, rate):
+        import os
+
+        from quire.operators.audio import silent
+
+        open(f"{folder}/{len(os.listdir(folder))}-{text}", "w").close()
+        if text == "hỏng":
+            raise OSError("no service")
+        return silent(text, voice, rate)
+
+    cache = str(tmp_path / "cache")
+    make = lambda fn, force=False: {r.id: r.duration_ms for r in audio.synthesized(units, cache, fn, audio.silent_length, "v", "0%", 5, force).collect()}
+    with pytest.raises(checks.ConstraintError, match="u2/chunk_0001.*OSError: no service"):
+        make(call)
+    assert sorted(p.name.split("-")[1] for p in log.iterdir()) == ["Hai.", "Một.", "hỏng"]
+    assert make(audio.silent) == {"u1": 480, "u2": 240, "u3": 240}  # only the failed one is asked for
+    assert audio.read_cache(spark, cache).count() == 3
+    assert make(lambda *a: bytes(7), force=True) == {"u1": 14, "u2": 7, "u3": 7}
+    with pytest.raises(checks.ConstraintError, match="no valid audio"):
+        make(lambda *a: b"", force=True)
+    side = units.select(audio.sidecar(F.col("tts_text"), F.lit("v"), F.lit("0%"), F.lit(5)).alias("j")).first().j
+    assert json.loads(side).keys() == {"signature", "tts_text_sha256", "voice", "rate", "max_chars_per_request"}
+
+
+def test_steps_that_are_up_to_date_are_left_out(tmp_path):
+    a, b, c = (tmp_path / x for x in "abc")
+    a.write_text("1")
+    steps = [("one", [a], [b], lambda: b.write_text("2")), ("two", [b], [c], lambda: c.write_text("3"))]
+    assert book.chain(steps) == ["one", "two"] and book.chain(steps) == [] and book.chain(steps, always=True) == ["one", "two"]
+    os.utime(a, (2e9, 2e9))
+    assert book.chain(steps) == ["one", "two"]
+
+
+def test_settings(tmp_path):
+    (tmp_path / "c.yaml").write_text('tts:\n  voice: "k"\n  pause_ms: 5\n')
+    assert book.settings(None, {}) == {"voice": "vi-VN-HoaiMyNeural", "rate": "-5%", "pause_ms": 350, "max_chars": 2500}
+    assert book.settings(str(tmp_path / "c.yaml"), {"SPEECH_VOICE": " "})["voice"] == "k"
+    assert book.settings(str(tmp_path / "c.yaml"), {"SPEECH_VOICE": "e"}) == {"voice": "e", "rate": "-5%", "pause_ms": 5, "max_chars": 2500}
+
+
+def test_commands_from_archive_to_zip(spark, tmp_path, capsys):
+    archive(tmp_path / "one.epub")
+    run = lambda *args: book.main([str(a) for a in args])
+    out, speech, target = tmp_path / "out", tmp_path / "speech", tmp_path / "package"
+    assert run("all", tmp_path / "one.epub", out, "--chapters", 2) == 0 and run("all", tmp_path / "one.epub", out, "--chapters", 2) == 0
+    assert "ran: extract, prepare, audit" in (said := capsys.readouterr().out) and "up to date" in said
+    units = json.loads((out / "manifest.json").read_text())
+    assert [s["id"] for s in units["sections"]] == ["introduction", "chapter_01", "chapter_02"] and "book_id" not in units
+    assert json.loads((out / "metadata.json").read_text())["title"] == "Sách"
+    assert {r["category"] for r in json.loads((out / "audit.json").read_text())} == {"percent", "currency"} or (out / "audit.json").read_text() == "[]\n"
+    assert run("generate", out / "manifest.json", speech, "--section", "none") == 1
+    assert run("generate", out / "manifest.json", speech, "--all", "--dry-run") == 0
+    assert run("build", out / "book.json", out / "manifest.json", speech, target, "--all") == 1  # no timing yet
+    assert run("generate", out / "manifest.json", speech, "--all") == 0
+    timing = json.loads((speech / "chapter_01" / "chapter_01_timing.json").read_text())
+    assert timing["audio"] == "chapter_01.mp3" and timing["units"][1]["clip_begin_ms"] == timing["units"][0]["clip_end_ms"] + 350
+    for s in ("introduction", "chapter_01", "chapter_02"):
+        (speech / s / f"{s}.mp3").write_bytes(b"sound")
+    assert run("build", out / "book.json", out / "manifest.json", speech, target, "--all") == 0
+    ids = "introduction,chapter_01,chapter_02"
+    assert run("validate", tmp_path / "none") == 1
+    assert run("package", target, tmp_path / "b.zip", "--sections", ids) == 0 and run("verify", tmp_path / "b.zip", "--sections", 3) == 0
+    assert run("verify", tmp_path / "b.zip", "--sections", 4) == 1
+    assert "uid: urn:uuid:" in capsys.readouterr().out
+    assert run("check-metadata", out / "book.json") == 0 and run("extract", tmp_path / "no.epub", out) == 1
+    (tmp_path / "b.zip").write_bytes(b"x")
+    assert run("verify", tmp_path / "b.zip") == 1
 
 
 def test_reconciliation_rules(spark):

@@ -1,11 +1,14 @@
 """Golden values of the text rules."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import ids, text
 from quire.functions.speech import integer_words, number_words, with_speech_text
-from quire.operators.chunks import pack
+from quire.operators.chunks import chunks, exploded, with_chunks
 
 DECOMPOSED = "Tiếng"
 
@@ -22,11 +25,11 @@ def test_normal_forms(spark):
 
 
 def test_heading_case_and_override(spark):
-    rows = ["CHUYỆN TIỀN", "Chương 1. KHÔNG AI ĐIÊN.", "Chương 2. May mắn", "Thường", "123"]
-    assert values(spark, rows, text.heading_case) == ["Chuyện tiền", "Chương 1. Không ai điên.", "Chương 2. May mắn", "Thường", "123"]
-    table = {"KIẾM >< GIỮ": "Kiếm khác giữ"}
-    rows = ["KIẾM >< GIỮ", "Chương 3. KIẾM >< GIỮ.", "khác"]
-    assert values(spark, rows, lambda c: text.heading_override(c, table)) == ["Kiếm khác giữ", "Chương 3. Kiếm khác giữ.", "khác"]
+    rows = ["CHUYỆN TIỀN", "Chương 1. MÈO ĐI HỌC.", "Chương 2. May mắn", "Thường", "123"]
+    assert values(spark, rows, text.heading_case) == ["Chuyện tiền", "Chương 1. Mèo đi học.", "Chương 2. May mắn", "Thường", "123"]
+    table = {"NẮNG >< MƯA": "Nắng khác mưa"}
+    rows = ["NẮNG >< MƯA", "Chương 3. NẮNG >< MƯA.", "khác"]
+    assert values(spark, rows, lambda c: text.heading_override(c, table)) == ["Nắng khác mưa", "Chương 3. Nắng khác mưa.", "khác"]
 
 
 def test_chapter_heading(spark):
@@ -101,9 +104,9 @@ def test_clocks(spark):
 
 
 def test_isbn(spark):
-    rows = ["978-604-314-015-6", "urn:isbn:9786043140156", "ISBN 978 604 314 015 6", "9786043140157", "0-306-40615-2", "", None]
-    assert values(spark, rows, ids.isbn13) == ["9786043140156"] * 3 + [None] * 4
-    assert values(spark, rows[:1], ids.isbn_urn) == ["urn:isbn:9786043140156"]
+    rows = ["978-1-2345-6789-7", "urn:isbn:9781234567897", "ISBN 978 1 2345 6789 7", "9781234567898", "0-306-40615-2", "", None]
+    assert values(spark, rows, ids.isbn13) == ["9781234567897"] * 3 + [None] * 4
+    assert values(spark, rows[:1], ids.isbn_urn) == ["urn:isbn:9781234567897"]
 
 
 def test_book_uid_matches_the_standard_library(spark):
@@ -143,10 +146,39 @@ def test_ssml_escapes(spark):
     assert values(spark, ["a < b & c"], lambda c: text.ssml(c, F.lit("v"), F.lit("-5%"))) == ['<speak version="1.0" xml:lang="vi-VN"><voice name="v"><prosody rate="-5%">a &lt; b &amp; c</prosody></voice></speak>']
 
 
-@pytest.mark.parametrize("limit", [5, 17, 40, 1000])
-def test_chunks_hold_the_limit_and_all_text(limit):
-    source = "Một hai ba. Bốn! " * 9 + "x" * 55 + " cuối cùng…"
-    got = pack(source.strip(), limit)
-    assert all(0 < len(c) <= limit for c in got)
-    assert "".join("".join(got).split()) == "".join(source.split())
-    assert pack("", limit) == []
+def chunks_by_hand(source, limit):
+    """Chunks by their definition, on plain strings."""
+    if len(source) <= limit:
+        return [source] if source else []
+    out, line = [], None
+    for sentence in filter(None, map(str.strip, re.split(r"(?<=[.!?…])\s+", source))):
+        if line is not None and len(line) + 1 + len(sentence) <= limit:
+            line += " " + sentence
+            continue
+        if line is not None:
+            out.append(line)
+        while len(sentence) > limit:
+            cut = sentence.rfind(" ", 0, limit + 1)
+            cut = cut if cut > 0 else limit
+            out.append(sentence[:cut].strip())
+            sentence = sentence[cut:].lstrip()
+        line = sentence
+    return out + ([line] if line else [])
+
+
+@pytest.mark.parametrize("limit", [1, 2, 5, 17, 40, 1000])
+def test_chunks_equal_their_definition(spark, limit):
+    rng = random.Random(limit)
+    rows = ["", "a", "Một hai ba. Bốn! " * 9 + "x" * 55 + " cuối cùng…", "x" * 120, "a b", None]
+    for _ in range(150):
+        rows.append("".join(rng.choice(["a", "bé", "dài" * 9, " ", " ", ". ", "! ", "…\n", ".", "?  ", "\n", "\t"]) for _ in range(rng.randint(0, 60))).strip())
+    got = values(spark, rows, lambda c: chunks(c, limit))
+    assert got == [None if r is None else chunks_by_hand(r, limit) for r in rows]
+    assert all(0 < len(c) <= limit for r in got if r for c in r)
+    with pytest.raises(ValueError):
+        chunks(F.lit("a"), 0)
+
+
+def test_exploded_chunks(spark):
+    df = with_chunks(spark.createDataFrame([(1, "Một hai. Ba bốn."), (2, ""), (3, None)], "i int, x string"), "x", "c", 9)
+    assert [tuple(r) for r in exploded(df, "c").select("i", "chunk_id", "chunk").orderBy("i", "chunk_id").collect()] == [(1, "chunk_0001", "Một hai."), (1, "chunk_0002", "Ba bốn.")]
