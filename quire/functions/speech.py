@@ -151,12 +151,20 @@ def rules(pronunciation: Mapping[str, str]) -> list[tuple[str, object]]:
     ]
 
 
+#: What a text must have somewhere for a rule to find anything.
+SIGNS = {
+    "phone": "[0-9]-[0-9]", "retirement plan": r"\(", "slashed": "/", "fractions": "/", "measures": "(?i)cm|kg|gb|m2|m²", "units": "(?i)cm|kg|gb|m2|m²", "currency rate": r"\$[0-9]", "multiple range": "[0-9]x", "multiple": "[0-9]x",
+    "plus": r"\+", "times": "×", "range": "[–—-]", "temperature": "°C", "currency": r"\$[0-9]", "percent": "[0-9]%",
+}
+
+
 def with_speech_text(df, source: str, target: str, unit_type: str | None = None, pronunciation: Mapping[str, str] | None = None):
     """`df` with `target`, the speech form of `source`; unit_type names the column of heading, subtitle or paragraph.
 
     Each rule is a projection of its own: rules use their input several times, so one
     nested expression would grow with each. No rule writes digits, so texts that have
-    none after the headings' rules skip all rules on numbers.
+    none after the headings' rules skip all rules on numbers, and each rule is skipped
+    where its sign is missing.
     """
     text, numeric = F.col(f"`{target}`"), f"{target} has digits"
     df = df.withColumn(target, spoken_form(F.col(f"`{source}`")))
@@ -168,5 +176,9 @@ def with_speech_text(df, source: str, target: str, unit_type: str | None = None,
         if name == "ampersand":
             df = df.withColumn(numeric, text.rlike("[0-9]"))
         plain = name in ("ampersand", "fraction glyphs", "units", "pronunciation")
-        df = df.withColumn(target, rule(text) if plain else F.when(F.col(f"`{numeric}`"), rule(text)).otherwise(text))
+        gate = None if plain else F.col(f"`{numeric}`")
+        if name in SIGNS:
+            sign = text.rlike(SIGNS[name])
+            gate = sign if gate is None else gate & sign
+        df = df.withColumn(target, rule(text) if gate is None else F.when(gate, rule(text)).otherwise(text))
     return df.withColumn(target, respaced(text)).drop(numeric)

@@ -51,21 +51,6 @@ def regex_sub(c: Column, pattern: str, fn: Callable[[Column], Column]) -> Column
     return F.array_join(F.zip_with(gaps, found, lambda gap, m: F.concat(gap, F.coalesce(fn(m), F.lit("")))), "")
 
 
-def match_spans(c: Column, pattern: str) -> Column:
-    """Array of (token, start, end) of all matches, from 0, end exclusive."""
-    gaps, found = F.split(c, pattern, -1), F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    kind = "array<struct<token:string,start:int,end:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["gap"])
-        span = F.struct(x["m"].alias("token"), s.alias("start"), (s + F.length(x["m"])).alias("end"))
-        return F.struct((s + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"), F.when(x["m"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span))).alias("spans"))
-
-    pairs = F.zip_with(gaps, found, lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["spans"])
-
-
 def mostly_upper(c: Column) -> Column:
     """At least 0.8 of the letters are upper case, and there is one."""
     letters = F.length(F.regexp_replace(c, r"[^\p{L}]", ""))

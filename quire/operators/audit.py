@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import NUM, excerpt, is_decimal_token, match_spans, mostly_upper
+from quire.functions.text import NUM, excerpt, is_decimal_token, mostly_upper
 
 # Categories, and the tokens and phrases of the dictionary, in order.
 CATEGORIES = ("all_caps", "acronym", "decimal", "percent", "currency", "slash_expression", "attached_unit", "unusual_symbol", "suspicious_source_text", "unmapped_foreign_token")
@@ -36,28 +38,25 @@ def _quoted(token: str) -> str:
     return "\\Q" + token + "\\E"
 
 
-def _starts(text: Column, token: Column) -> Column:
-    """Where a literal token stands in the text, from 0, without overlaps."""
-    gaps = F.split(text, F.concat(F.lit("\\Q"), token, F.lit("\\E")), -1)
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
-    walk = lambda acc, gap: F.struct((acc["at"] + F.length(gap) + F.length(token)).alias("at"), F.concat(acc["all"], F.array(acc["at"] + F.length(gap))).alias("all"))
-    # the text after the last token ends nothing
-    return F.aggregate(F.slice(gaps, 1, F.size(gaps) - 1), none, walk, lambda acc: acc["all"])
+#: Known tokens that are upper-case words, and the upper-case words within the others.
+WORDS = tuple(t for t in KNOWN_TOKENS if re.fullmatch("[A-Z]{2,}", t))
+if not set(re.findall(r"\b[A-Z]{2,}\b", " ".join(KNOWN_TOKENS))) <= set(WORDS):
+    raise ValueError("an upper-case word within a known token must be one itself")
 
 
 def acronyms(display: str = "display_text", tts: str = "tts_text") -> Column:
-    """Known tokens, and upper-case words that lie in no known token, which the speech text still has."""
+    """Known tokens, and upper-case words that lie in no known token, which the speech text still has.
+
+    A known token that is a word covers the word that is equal to it and none that is
+    longer; what lies within one of several words is a known token too. So looking the
+    words up does what comparing their places with those of the tokens would.
+    """
     text, spoken = F.col(display), F.col(tts)
-    # one pattern finds where any of them is; which ones lie there is looked up token by token
-    present = [F.when(F.contains(text, F.lit(t)), F.lit(t)) for t in KNOWN_TOKENS]
-    still = [F.contains(spoken, F.lit(t)) | (F.contains(spoken, F.lit(EXPANDED[t])) if t in EXPANDED else F.lit(False)) for t in KNOWN_TOKENS]
-    kept = F.array_compact(F.array(*[F.when(s, p) for p, s in zip(present, still, strict=True)]))
-    inside = lambda a, k: F.exists(_starts(text, k), lambda at: (at <= a["start"]) & (a["end"] <= at + F.length(k)))
-    found = F.array_compact(F.array(*present))
-    free = F.filter(match_spans(text, ACRONYM), lambda a: ~F.exists(found, lambda k: inside(a, k)))
-    generic = F.transform(F.filter(free, lambda a: F.contains(spoken, a["token"])), lambda a: a["token"])
-    # most texts have no capitals in a row: the spans are looked for only in those that do
-    return F.when(text.rlike(r"[A-Z0-9&]{2}"), F.concat(kept, generic)).otherwise(F.array().cast("array<string>"))
+    present = [F.contains(text, F.lit(t)) & (F.contains(spoken, F.lit(t)) | (F.contains(spoken, F.lit(EXPANDED[t])) if t in EXPANDED else F.lit(False))) for t in KNOWN_TOKENS]
+    kept = F.array_compact(F.array(*[F.when(p, F.lit(t)) for p, t in zip(present, KNOWN_TOKENS, strict=True)]))
+    free = F.filter(F.regexp_extract_all(text, F.lit(ACRONYM), F.lit(0)), lambda a: ~a.isin(*WORDS) & F.contains(spoken, a))
+    # most texts have no capitals in a row: only those that do are looked through
+    return F.when(text.rlike(r"[A-Z0-9&]{2}"), F.concat(kept, free)).otherwise(F.array().cast("array<string>"))
 
 
 def tokens() -> list[tuple[str, Column]]:

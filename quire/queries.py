@@ -82,81 +82,69 @@ def upper_ratio_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", upper.alias("upper_letters"), text.mostly_upper(F.col("text")).alias("mostly_upper"))
 
 
+EXCERPT = """SELECT doc_id, token, CASE WHEN length(text) <= 160 THEN text ELSE
+  CASE WHEN s > 0 THEN '...' || substr(CASE WHEN e < n THEN substr(p, 1, length(p) - 3) || '...' ELSE p END, 4) WHEN e < n THEN substr(p, 1, length(p) - 3) || '...' ELSE p END END AS excerpt
+  FROM (SELECT *, substr(text, s + 1, e - s) AS p FROM (SELECT *, greatest(0, e - 160) AS s FROM (SELECT *, least(n, f + 160) AS e FROM (
+    SELECT *, length(text) AS n, greatest(0, instr(text, token) - 1 - CAST(floor((160 - length(token)) / 2.0) AS BIGINT)) AS f FROM found))))"""
+
+
 def _audit(category: str, sql: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         column = dict(audit.tokens())[category]
         rows = document_units(spark, sf_dir).select(F.col("section_ord").alias("doc_id"), "display_text", F.explode(F.array_distinct(column.alias("t"))).alias("token"))
         return rows.select("doc_id", "token", text.excerpt(F.col("display_text"), F.col("token")).alias("excerpt"))
 
-    excerpt = """SELECT doc_id, token, CASE WHEN length(text) <= 160 THEN text ELSE
-      CASE WHEN s > 0 THEN '...' || substr(CASE WHEN e < n THEN substr(p, 1, length(p) - 3) || '...' ELSE p END, 4) WHEN e < n THEN substr(p, 1, length(p) - 3) || '...' ELSE p END END AS excerpt
-      FROM (SELECT *, substr(text, s + 1, e - s) AS p FROM (SELECT *, greatest(0, e - 160) AS s FROM (SELECT *, least(n, f + 160) AS e FROM (
-        SELECT *, length(text) AS n, greatest(0, instr(text, token) - 1 - (160 - length(token)) // 2) AS f FROM found))))"""
     run.__name__ = f"audit_{category}"
-    return query(f"WITH found AS (SELECT DISTINCT d.doc_id, d.text, t.token FROM documents d, LATERAL (SELECT unnest({sql}) AS token) t) {excerpt}")(run)
+    return query(f"WITH found AS (SELECT DISTINCT d.doc_id, d.text, t.token FROM documents d, LATERAL (SELECT unnest({sql}) AS token) t) {EXCERPT}")(run)
 
 
 _audit("percent", r"regexp_extract_all(d.text, '[0-9]+(?:[.,][0-9]+)*%')")
 
 
-@query(
-    r"""SELECT DISTINCT doc_id, token FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{M}\p{N}\p{Pc}]+')) AS token FROM documents) WHERE regexp_full_match(token, '[A-Z]{2,}')"""
-)
-def audit_acronym(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upper-case words. The dictionary's tokens are looked for in the audit itself, see audit_issues."""
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(audit.ACRONYM), F.lit(0)))).alias("token"))
-
-
-@query()
+#: White space of any kind, and texts with all letters but those of ASCII as underscores, so that a word begins and ends where it does.
+_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_NUM = "[0-9]+(?:[.,][0-9]+)*"
+_known = ", ".join("'" + t + "'" for t in audit.KNOWN_TOKENS)
+FOUND = rf"""texts AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, '[^\P{{L}}\x00-\x7F]', '_', 'g'), '\p{{M}}', '_', 'g'), '[^\P{{Nd}}\x00-\x7F]', '_', 'g') AS t FROM documents),
+pieces AS (SELECT doc_id, p, sum(length(p)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM (SELECT doc_id, unnest(x) AS p, unnest(range(len(x))) AS i FROM (SELECT doc_id, regexp_extract_all(t, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+') AS x FROM texts WHERE regexp_matches(t, '[A-Z]{{2}}')))),
+capitals AS (SELECT doc_id, p AS token, e - length(p) AS s, e FROM pieces WHERE regexp_full_match(p, '[A-Z]{{2,}}')),
+known AS (SELECT doc_id, k, sum(length(g) + length(k)) OVER (PARTITION BY doc_id, k ORDER BY i) AS e, i, n FROM (SELECT doc_id, k, unnest(string_split(text, k)) AS g, unnest(range(len(string_split(text, k)))) AS i, len(string_split(text, k)) AS n FROM documents, (SELECT unnest([{_known}]) AS k) WHERE contains(text, k))),
+numbers AS (SELECT doc_id, unnest(regexp_extract_all(t, '\b{_NUM}\b')) AS token FROM texts),
+found AS (
+  SELECT DISTINCT doc_id, 'acronym' AS category, k AS token FROM known
+  UNION SELECT doc_id, 'acronym', token FROM capitals c WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.doc_id = c.doc_id AND k.i < k.n - 1 AND k.e - length(k.k) <= c.s AND c.e <= k.e)
+  UNION SELECT doc_id, 'decimal', token FROM numbers WHERE CASE WHEN contains(token, ',') THEN length(token) - length(replace(token, ',', '')) = 1 ELSE contains(token, '.') AND NOT regexp_full_match(token, '[^.]*(\.[^.]{{3}})+') END
+  UNION SELECT doc_id, 'percent', unnest(regexp_extract_all(text, '{_NUM}%')) FROM documents
+  UNION SELECT doc_id, 'currency', unnest(regexp_extract_all(text, '\${_NUM}')) FROM documents
+  UNION SELECT doc_id, 'slash_expression', unnest(regexp_extract_all(t, '\b[0-9]+/[0-9]+\b')) FROM texts
+  UNION SELECT doc_id, 'attached_unit', unnest(regexp_extract_all(t, '{_NUM}(?:GB|kg)\b')) FROM texts
+  UNION SELECT doc_id, 'unusual_symbol', unnest(regexp_extract_all(text, '><|[<>]')) FROM documents
+  UNION SELECT doc_id, 'suspicious_source_text', p FROM documents, (SELECT unnest([{", ".join("'" + t + "'" for t in audit.SUSPICIOUS)}]) AS p) WHERE regexp_matches(text, '(?i)(^|[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}])' || p || '($|[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}])')
+  UNION SELECT doc_id, 'unmapped_foreign_token', unnest(regexp_extract_all(t, '\b[A-Z][a-z]+(?:{_BLANK}+(?:[A-Z][a-z]+|[A-Z]{{2,}}))+\b')) FROM texts)"""
+
+
+@query(f"WITH {FOUND}, cut AS ({EXCERPT.replace('FROM found)', 'FROM found JOIN documents USING (doc_id))').replace('SELECT doc_id, token,', 'SELECT doc_id, category, token,', 1)}) SELECT CAST(doc_id AS VARCHAR) AS section_id, CAST(doc_id AS VARCHAR) AS unit_id, category, token, excerpt AS display_text, excerpt AS tts_text FROM cut")
 def audit_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues of every category, each document as a unit that is spoken as it is written."""
     found = audit.issues(document_units(spark, sf_dir))
     return found.select("section_id", "unit_id", "category", "token", "display_text", "tts_text")
 
 
-PERCENT_DECIMAL = r"""found AS (
-  SELECT DISTINCT doc_id, 'percent' AS category, token FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*%')) AS token FROM documents)
-  UNION ALL SELECT DISTINCT doc_id, 'acronym', token FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{M}\p{N}\p{Pc}]+')) AS token FROM documents) WHERE regexp_full_match(token, '[A-Z]{2,}'))"""
-
-
 @query(
-    f"WITH {PERCENT_DECIMAL} SELECT c.category_ord, c.category, count(f.token) AS issues FROM (VALUES "
+    f"WITH {FOUND} SELECT c.category_ord, c.category, count(f.token) AS issues FROM (VALUES "
     + ", ".join(f"({i}, '{c}')" for i, c in enumerate(audit.CATEGORIES))
     + ") c(category_ord, category) LEFT JOIN found f ON f.category = c.category GROUP BY ALL"
 )
 def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issues of two categories over documents, with a row for every category; audit_summary_all counts all of them."""
-    docs = table(spark, sf_dir, "documents")
-    lists = F.concat(
-        F.transform(F.array_distinct(F.regexp_extract_all("text", F.lit(audit.PATTERNS["percent"]), F.lit(0))), lambda t: F.struct(F.lit("percent").alias("category"), t.alias("token"))),
-        F.transform(F.array_distinct(F.regexp_extract_all("text", F.lit(audit.ACRONYM), F.lit(0))), lambda t: F.struct(F.lit("acronym").alias("category"), t.alias("token"))),
-    )
-    return audit.category_counts(docs.select(F.explode(lists).alias("t")).select("t.*"))
-
-
-@query(f"WITH {PERCENT_DECIMAL} SELECT DISTINCT token FROM found WHERE category = 'acronym'")
-def audit_distinct_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Acronyms only, by their pattern; audit_distinct_tokens_all has known and foreign tokens too."""
-    return audit.distinct_tokens(audit_acronym(spark, sf_dir).withColumn("category", F.lit("acronym")))
-
-
-@query()
-def audit_summary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issues of every category over documents."""
+    """Issues by category over documents, with a row for every category."""
     return audit.category_counts(audit.issues(document_units(spark, sf_dir)))
 
 
-@query()
-def audit_distinct_tokens_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(f"WITH {FOUND} SELECT DISTINCT token FROM found WHERE category IN ('acronym', 'unmapped_foreign_token')")
+def audit_distinct_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.distinct_tokens(audit.issues(document_units(spark, sf_dir)))
 
 
-@query("SELECT lang, grouping(lang) AS is_total, count(*) AS units, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents GROUP BY ROLLUP (lang)")
-def dry_run_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return docs.rollup("lang").agg(F.grouping("lang").cast("long").alias("is_total"), F.count("*").alias("units"), F.sum(F.length("text").cast("long")).alias("characters"))
-
-
 @query()
 def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = chunks.with_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
@@ -247,15 +235,6 @@ def broken_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.union(checks.missing(docs, labels, "doc_id", "document without label", "doc_id")).select("rule", "key")
 
 
-@query("SELECT o_orderkey, c_name, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey")
-def lookup_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ordered references resolved through two lookups, as a spine through its manifest and entries."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("n_nationkey"))
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return orders.join(customers, "c_custkey", "left").join(nations, "n_nationkey", "left").select("o_orderkey", "c_name", "n_name")
-
-
 def _requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     requests = timeline.signed(docs, "text", "vi-VN-HoaiMyNeural", "-5%", 2500)
@@ -286,15 +265,6 @@ def metadata_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id", "left").select("doc_id", ids.preferred(override, F.col("lang")).alias("value"))
 
 
-@query(
-    "SELECT 'required file' AS rule, ext AS key FROM (VALUES ('http'), ('https'), ('ftp')) r(ext) WHERE NOT EXISTS (SELECT 1 FROM pages WHERE regexp_extract(url, '^([a-z]+):', 1) = ext)"
-)
-def required_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    have = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "^([a-z]+):", 1).alias("ext")).distinct()
-    wanted = spark.createDataFrame([("http",), ("https",), ("ftp",)], "ext string")
-    return checks.missing(wanted, have, "ext", "required file", "ext").select("rule", "key")
-
-
 @query(
     f"""WITH {CLIPS}, c AS (SELECT conv_id, turn, clip_begin_ms AS b, clip_begin_ms + duration_ms AS e FROM clips)
     SELECT conv_id, string_agg('<par id="par_' || conv_id || '_' || turn || '"><text src="book.xml#' || conv_id || '_' || turn || '"/><audio src="' || conv_id || '.mp3" clipBegin="' ||
@@ -331,11 +301,6 @@ def book_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", ids.book_uid(title, F.col("source"), F.col("lang")).alias("uid"))
 
 
-@query(r"SELECT doc_id, CAST(len(regexp_extract_all(text, '[.!?…]\s+')) AS BIGINT) AS breaks FROM documents")
-def sentence_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.regexp_count("text", F.lit(r"[.!?…]\s+")).cast("long").alias("breaks"))
-
-
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, to units, to tokens, to counts by category: the flagship."""
-    return audit_summary_all(spark, sf_dir)
+    return audit_summary(spark, sf_dir)

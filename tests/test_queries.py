@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from quire import queries
+from quire import book_queries, queries
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -50,10 +50,11 @@ def test_summary_and_tokens_of_all_categories(spark, tmp_path):
         "percent": {(0, "5%")}, "decimal": {(0, "3.25"), (2, "3.25")}, "currency": {(0, "$40")}, "slash_expression": {(0, "1/2")}, "attached_unit": {(0, "16GB")},
         "acronym": {(0, "NASA"), (0, "GB"), (1, "NASA"), (1, "S&P 500"), (2, "401(k)"), (2, "IBM")}, "unusual_symbol": {(1, "<")}, "suspicious_source_text": {(1, "quan trong")}, "unmapped_foreign_token": {(2, "Warren Buffett")},
     }
-    for f in (queries.audit_summary_all, queries.entry):
+    assert book_queries.query is queries.query
+    for f in (queries.audit_summary, queries.entry):
         got = f(spark, str(tmp_path)).collect()
         assert len(got) == 10 and {r.category: r.issues for r in got if r.issues} == {c: len(t) for c, t in want.items()}
-    got = queries.audit_distinct_tokens_all(spark, str(tmp_path)).collect()
+    got = queries.audit_distinct_tokens(spark, str(tmp_path)).collect()
     assert sorted(r.token for r in got) == sorted({t for c in ("acronym", "unmapped_foreign_token") for _, t in want[c]})
 
 
