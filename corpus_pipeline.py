@@ -17,7 +17,7 @@ from quire.llm.mixture import with_copies
 from quire.llm.ngram_join import ngram_jaccard_components
 from quire.llm.pii import redacted
 from quire.llm.quality import FOLDS, accepted, fit
-from quire.llm.shared import documents, held_out, stored, with_checkpoints
+from quire.llm.shared import documents, held_out, sent_if_few, stored, with_checkpoints
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,15 +31,16 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Of rows that repeat an id one stays, the first by the hash of all their columns.
     """
-    found = stored(ngram_jaccard_components(docs))
-    stay = found.filter("doc_id = component_id").select("doc_id")
-    again = stay.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    out = docs.join(stored(stay.distinct()), "doc_id", "left_semi")
+    found = ngram_jaccard_components(docs).filter("doc_id IS NOT NULL")
+    per = found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("times"))
+    per = stored(per.filter("NOT stays OR times > 1"))
+    out = docs.join(sent_if_few(per.filter("NOT stays").select("doc_id")), "doc_id", "left_anti")
+    again = per.filter("stays").select("doc_id")
     if not again.isEmpty():
         first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
         one = out.join(again, "doc_id", "left_semi").withColumn("of its id", F.row_number().over(first)).filter("`of its id` = 1").drop("of its id")
         out = out.join(again, "doc_id", "left_anti").unionByName(one)
-    return out.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    return out.select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
