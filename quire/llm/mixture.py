@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents
+from quire.llm.shared import columns, documents, sent_if_few, stored
 
 WEIGHTS = (5, 2, 1)
 #: Tokens of the whole mix, and at most of one source, as multiples of what there is.
@@ -56,15 +56,15 @@ def with_copies(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: fl
 
     Reads doc_id, text and source. Null and empty texts have size 0. Null is a
     source of its own. Rows that repeat an id get the same draw. No rows give no rows.
-    Only one row for each source is sent around, documents stay where they are. Copies are
+    One row for each source is sent around, so documents stay where they are. Copies are
     drawn by chance, so what a source of few documents takes may miss its target by as
     much as some of its documents.
     """
     size = word_count(F.col("text"))
     goal = targets(docs.select("source", size.alias("size")).groupBy("source").agg(F.sum("size").alias("source_size")), weights, total, most)
-    # joined null-safe: Spark picks the side to send by its size
+    # joined null-safe
     key = lambda c: F.struct(F.coalesce(c, F.lit("")), c.isNull())
-    goal = goal.select(key(F.col("source")).alias("mix_key"), F.struct("source_size", "target", "rate").alias("mix_goal"))
+    goal = sent_if_few(stored(goal.select(key(F.col("source")).alias("mix_key"), F.struct("source_size", "target", "rate").alias("mix_goal"))), 100_000)
     out = docs.withColumn("mix_key", key(F.col("source"))).join(goal, "mix_key").drop("mix_key")
     rate = F.col("mix_goal.rate")
     more = (_unit(seed, F.col("doc_id")) < rate - F.floor(rate)).cast("long")

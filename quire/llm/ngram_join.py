@@ -62,6 +62,8 @@ TILE = 4096
 FRAGMENTS = 4
 #: Partners of one class that are verified in one task.
 PARTNERS = 512
+#: Rows that ask for sets, of 48 bytes each, up to which they are sent to the sets; more are joined.
+ASKED = 200_000
 
 
 def _node(hashes: np.ndarray) -> int:
@@ -372,6 +374,11 @@ def _places(x: np.ndarray, bits: int):
         yield ((h >> U64(shift)) & U64((1 << bits) - 1)).astype(np.int64)
 
 
+def _few(asked: DataFrame, pairs: DataFrame) -> DataFrame:
+    """`asked`, two rows for each of the stored `pairs` at most, to be broadcast if they are known to be few."""
+    return F.broadcast(asked) if 2 * pairs.count() <= ASKED else asked
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, both, n_a, n_b) of the pairs (a, b), distinct and of different nodes, `both` summed over the fragments.
 
@@ -389,7 +396,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     # both ends ask for their sets at once
     none = F.lit(None).cast("long").alias("b")
     asked = pairs.select(F.col("a").alias("node"), "a", "part", none).distinct().union(pairs.select(F.col("b").alias("node"), "a", "part", "b"))
-    asked = asked.join(sets, "node").select("a", "part", "fragment", "b", "n", "hashes")
+    asked = _few(asked, pairs).join(sets, "node").select("a", "part", "fragment", "b", "n", "hashes")
     dealt = asked.repartition(shuffle_parts(pairs.sparkSession), "a", "part", "fragment").sortWithinPartitions("a", "part", "fragment", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -528,7 +535,7 @@ def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     none = lambda t: F.lit(None).cast(t)
     a = at.select(F.col("leader").alias("of"), "leader", "part", "wide", none("long").alias("node"), none("long").alias("leader_component"), none("long").alias("component")).distinct()
     asked = a.union(at.select(F.col("node").alias("of"), "leader", "part", "wide", "node", "leader_component", "component"))
-    asked = asked.join(sets.withColumnRenamed("node", "of"), "of")
+    asked = _few(asked, at).join(sets.withColumnRenamed("node", "of"), "of")
     dealt = asked.repartition(shuffle_parts(pairs.sparkSession), "leader", "part").sortWithinPartitions("leader", "part", F.col("node").asc_nulls_first(), "fragment")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

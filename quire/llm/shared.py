@@ -37,6 +37,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers each, up to which a table is sent to all executors: some 30 MB.
+FEW_ROWS = 1_000_000
+
+
+def sent_if_few(df: DataFrame, most: int = FEW_ROWS) -> DataFrame:
+    """`df`, a stored table, to be broadcast if it is counted to be small; else the planner joins it."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def shuffle_parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -17,7 +17,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 #: Bytes that one pass of the vector code works on; a longer document gets a pass of its own.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 512 << 10
 
 
 def mix(x: np.ndarray) -> np.ndarray:
