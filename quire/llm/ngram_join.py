@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.components import connected_components
-from quire.llm.shared import columns, shuffle_parts, stored
+from quire.llm.shared import columns, membership, shuffle_parts, stored
 from quire.llm.words import mix, shingle_sets
 
 U64 = np.uint64
@@ -308,7 +308,7 @@ def _led(proposed: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, own: DataFrame, nodes: DataFrame, k: int = SHINGLE) -> DataFrame:
     """(node, n, fragment, hashes) of the wanted classes; a filter over their texts' hashes spares reading most others."""
-    wanted = _membership(stored(own.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))))
+    wanted = membership(stored(own.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))), "text_hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -335,45 +335,6 @@ def _set_rows(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(f, pa.int32()), pa.array(x, pa.binary())], ["node", "n", "fragment", "hashes"])
 
 
-def _membership(texts: DataFrame, pieces: int = 32):
-    """A Bloom filter over the column text_hash, of 16 bits for each but 2 ** 20 to 2 ** 27 in all. What it lets through too much, the join drops."""
-    bits = min(27, max(20, 4 + texts.count().bit_length()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << bits, bool)
-        for b in batches:
-            for at in _places(b["text_hash"].to_numpy(), bits):
-                table[at] = True
-        rows = [(p, x.tobytes()) for p, x in enumerate(np.split(np.packbits(table), pieces)) if x.any()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["piece", "bits"])
-
-    def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[int, np.ndarray] = {}
-        for b in batches:
-            for p, x in zip(b["piece"].to_pylist(), b["bits"], strict=True):
-                got[p] = got.get(p, 0) | np.frombuffer(x.as_py(), np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int32()), pa.array([x.tobytes() for x in got.values()], pa.binary())], ["piece", "bits"])
-
-    packed = np.zeros((1 << bits) // 8, np.uint8)
-    size = len(packed) // pieces
-    for r in texts.select("text_hash").mapInArrow(run, "piece int, bits binary").repartition(pieces, "piece").mapInArrow(either, "piece int, bits binary").collect():
-        packed[r.piece * size : (r.piece + 1) * size] = np.frombuffer(r["bits"], np.uint8)
-
-    def wanted(x: np.ndarray) -> np.ndarray:
-        ok = np.ones(len(x), bool)
-        for at in _places(x, bits):
-            ok &= (packed[at >> 3] >> (7 - (at & 7))) & 1 == 1
-        return ok
-
-    return wanted
-
-
-def _places(x: np.ndarray, bits: int):
-    h = mix(x.view(U64))
-    for shift in (0, 18, 36):
-        yield ((h >> U64(shift)) & U64((1 << bits) - 1)).astype(np.int64)
-
-
 def _few(asked: DataFrame, pairs: DataFrame) -> DataFrame:
     """`asked`, two rows for each of the stored `pairs` at most, to be broadcast if they are known to be few."""
     return F.broadcast(asked) if 2 * pairs.count() <= ASKED else asked

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm.words import mix
+
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,3 +64,42 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
 def held_out(doc_id, folds: int):
     """crc32 of the id as text modulo `folds` is 1; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 1
+
+
+def membership(values: DataFrame, column: str, pieces: int = 32):
+    """A Bloom filter over a column of 64-bit numbers, of 16 bits for each but 2 ** 20 to 2 ** 27 in all. What it lets through too much, a join must drop."""
+    bits = min(27, max(20, 4 + values.count().bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, bool)
+        for b in batches:
+            for at in _places(b[column].to_numpy(), bits):
+                table[at] = True
+        rows = [(p, x.tobytes()) for p, x in enumerate(np.split(np.packbits(table), pieces)) if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["piece", "bits"])
+
+    def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[int, np.ndarray] = {}
+        for b in batches:
+            for p, x in zip(b["piece"].to_pylist(), b["bits"], strict=True):
+                got[p] = got.get(p, 0) | np.frombuffer(x.as_py(), np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int32()), pa.array([x.tobytes() for x in got.values()], pa.binary())], ["piece", "bits"])
+
+    packed = np.zeros((1 << bits) // 8, np.uint8)
+    size = len(packed) // pieces
+    for r in values.select(column).mapInArrow(run, "piece int, bits binary").repartition(pieces, "piece").mapInArrow(either, "piece int, bits binary").collect():
+        packed[r.piece * size : (r.piece + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+
+    def wanted(x: np.ndarray) -> np.ndarray:
+        ok = np.ones(len(x), bool)
+        for at in _places(x, bits):
+            ok &= (packed[at >> 3] >> (7 - (at & 7))) & 1 == 1
+        return ok
+
+    return wanted
+
+
+def _places(x: np.ndarray, bits: int):
+    h = mix(x.view(np.uint64))
+    for shift in (0, 18, 36):
+        yield ((h >> np.uint64(shift)) & np.uint64((1 << bits) - 1)).astype(np.int64)

@@ -112,14 +112,61 @@ def test_anchors_miss_no_line(spark):
     m = licenses.Matcher(licenses.TEMPLATES, 1000, {"the": 900, "license": 10, "of": 800})
     for name, text in licenses.TEMPLATES:
         low = text.encode().lower()
-        assert m.best(licenses.terms(text))[0] == pytest.approx(1.0)
-        assert m.scan(low, sorted(low.find(a.encode()) for a in m.anchors if a.encode() in low))[0] == name
+        product, template, known, others = m.best(licenses.terms(text))
+        assert product / known**0.5 == pytest.approx(1.0) and m.names[template] == name and not others
+        found = max(m.scan(low, sorted(low.find(a.encode()) for a in m.anchors if a.encode() in low)), key=lambda s: (s[0] / s[2] ** 0.5, s[4]))
+        assert m.names[found[1]] == name
         # without its anchors a template is below the threshold
         v = m.vectors[licenses.TEMPLATES.index((name, text))]
         assert sum(x * x for w, x in v.items() if w not in m.anchors) < licenses.THRESHOLD**2
     assert len(word_hashes(*utf8(__import__("pyarrow").array(["a.b, c"])), licenses.PARTS)[0]) == 3
 
 
+def test_licence_scores_equal_the_cosine_over_all_terms(spark, monkeypatch):
+    """Single lines: each score by its definition, with the frequencies of all terms in all files."""
+    import math
+    import random
+    from collections import Counter
+
+    rng = random.Random(3)
+    common = ["the", "and", "file", "see", "here"]
+    texts = []
+    for name, t in licenses.TEMPLATES[:12]:
+        for extra in range(5):
+            words = t.rstrip(".").split() + [rng.choice(common) for _ in range(extra)] + [f"rare{rng.randrange(10**6)}" for _ in range(extra % 3)]
+            texts.append(" ".join(words).replace(".", " ").replace(";", " ").replace("!", " ").replace("?", " "))
+    texts += [" ".join(rng.choice(common) for _ in range(20)) for _ in range(40)] + ["", "license"]
+    df = Counter(w for t in texts for w in set(licenses.terms(t)))
+    idf = lambda w: 1 + math.log((len(texts) + 1) / (df[w] + 1))
+
+    def vector(t):
+        v = {w: c * idf(w) for w, c in Counter(licenses.terms(t)).items()}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {w: x / norm for w, x in v.items()}
+
+    templates = [(n, vector(t)) for n, t in licenses.TEMPLATES]
+    rows = [(f"d{i}/x", t) for i, t in enumerate(texts)]
+    for few in (licenses.FEW_ROWS, 0):
+        monkeypatch.setattr(licenses, "FEW_ROWS", few)
+        got = {r.path: r for r in licenses.scan(spark.createDataFrame(rows, "path string, text string").repartition(3)).collect()}
+        for p, t in rows:
+            v = vector(t)
+            score, name = max(((sum(x * v.get(w, 0.0) for w, x in u.items()), -i, n) for i, (n, u) in enumerate(templates)), default=None)[::2]
+            if score >= licenses.THRESHOLD:
+                assert got[p].license == name and abs(got[p].score - score) < 1e-9
+            else:
+                assert not got[p].own and got[p].score == 0.0
+    assert sum(r.own for r in got.values()) > 30
+
+
+def test_licences_of_ties_and_deep_folders(spark):
+    rows = [("a/LICENSE", "Released under the MIT License."), ("a/COPYING", "Licensed under CC0 1.0 Universal, public domain dedication."), ("a/b/c/d/e/f.py", ""), ("a/b/NOTICE.txt", "nothing of note"), ("x/full.txt", licenses.TEMPLATES[19][1].replace(", ", ",\n")), ("x/y.py", "")]
+    got = {r.path: (r.license, r.own, r.directory) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    # of equal matches the name decides
+    assert got["a/b/c/d/e/f.py"] == ("CC0-1.0", False, "a") and got["a/b/NOTICE.txt"] == ("CC0-1.0", False, "a")
+    assert got["x/full.txt"] == ("MIT", True, None) and got["x/y.py"] == ("MIT", False, "x")
+
+
 TURNS = [
     (1, 0, "system", "be # good"), (1, 1, "user", "a\\"), (1, 2, "assistant", "\\\\m ###### \\</turn></turn>\n#"), (2, 0, "user", "x"), (2, 0, "user", "x"), (3, None, None, None), (3, 5, "tool:a###", "</turn"), (3, 1, "assistant", ": é"),
     (None, 0, "user", "q"), (None, 1, "assistant", ""),
