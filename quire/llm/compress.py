@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents, held_out, kept, shuffle_parts, stored
+from quire.llm.shared import columns, documents, held_out, kept, lean, shuffle_parts, stored
 from quire.llm.words import LOWER, SPACE, passes, utf8, word_hashes
 
 U64 = np.uint64
@@ -155,7 +155,7 @@ def training_counts(docs: DataFrame, ranges: int) -> DataFrame:
         yield _packed(_codes_by_range(*contexts.total(), ranges))
         yield _packed([(WORDS, *x) for x in _by_range(_range(w, ranges), ranges, w, n)])
 
-    return docs.mapInArrow(run, PACKED).repartition(ranges, "range").mapInArrow(lambda it: [_packed(_summed(it))], PACKED)
+    return docs.mapInArrow(lean(run), PACKED).repartition(ranges, "range").mapInArrow(lambda it: [_packed(_summed(it))], PACKED)
 
 
 #: Codes that a task gathers before it sums them up.
@@ -432,7 +432,7 @@ def _sent(docs: DataFrame, ranges: int) -> DataFrame:
         kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in SENT.split(", ")])
 
-    return docs.mapInArrow(run, SENT)
+    return docs.mapInArrow(lean(run), SENT)
 
 
 DOC = np.dtype([("id", np.int64), ("none", np.bool_), ("n", np.int64), ("train", np.bool_), ("size", np.int64)])
@@ -476,7 +476,7 @@ def _answered(sent: DataFrame, counts: DataFrame, low: list[tuple[np.ndarray, np
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["batch", "range", "log_p", "counts"])
 
     rows = counts.unionByName(sent.filter("range >= 0").select("batch", "range", "codes", "words"), allowMissingColumns=True)
-    return rows.repartition(shuffle_parts(sent.sparkSession), "range").sortWithinPartitions("range", F.col("batch").asc_nulls_first()).mapInArrow(run, ANSWER)
+    return rows.repartition(shuffle_parts(sent.sparkSession), "range").sortWithinPartitions("range", F.col("batch").asc_nulls_first()).mapInArrow(lean(run), ANSWER)
 
 
 def _joined(sent: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
@@ -502,7 +502,7 @@ def vocabulary(counts: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([len(k) for _, _, k, _ in _unpacked(b)], pa.int64())], ["n"])
 
-    return counts.filter(F.col("kind") == WORDS).mapInArrow(run, "n long").agg(F.sum("n"))
+    return counts.filter(F.col("kind") == WORDS).mapInArrow(lean(run), "n long").agg(F.sum("n"))
 
 
 def scores(docs: DataFrame, folds: int = FOLDS) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents, stored
+from quire.llm.shared import columns, documents, lean, stored
 from quire.llm.words import mix, passes, shingle_hashes, utf8, word_hashes
 
 U64 = np.uint64
@@ -216,7 +216,7 @@ def _scan(docs: DataFrame, index: ItemIndex, similarity: float) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [c.split()[0] for c in FOUND.split(", ")])
 
-    return docs.mapInArrow(run, FOUND)
+    return docs.mapInArrow(lean(run), FOUND)
 
 
 def without_items(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -232,7 +232,7 @@ def without_items(docs: DataFrame, items: DataFrame, similarity: float = SIMILAR
         return run
 
     for index, _ in indexes(items):
-        docs = docs.mapInArrow(clean(index), docs.schema)
+        docs = docs.mapInArrow(lean(clean(index)), docs.schema)
     return docs
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import FEW_ROWS, columns, documents, membership, sent_if_few, stored
+from quire.llm.shared import FEW_ROWS, columns, documents, lean, membership, sent_if_few, stored
 from quire.llm.words import passes, utf8, word_hashes
 
 THRESHOLD = 0.75
@@ -106,7 +106,7 @@ def frequencies(files: DataFrame, words: list[str]) -> tuple[int, dict[str, int]
                 count += np.bincount(pair % len(words), minlength=len(words))
         yield pa.RecordBatch.from_arrays([pa.array([-1, *by.tolist()], pa.int32()), pa.array([rows, *count.tolist()], pa.int64())], ["term", "n"])
 
-    got = {r.term: r.n for r in files.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    got = {r.term: r.n for r in files.select("text").mapInArrow(lean(run), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     return got.pop(-1, 0), {words[i]: n for i, n in got.items()}
 
 
@@ -204,7 +204,7 @@ def candidates(files: DataFrame, m: Matcher) -> DataFrame:
             kind = pa.list_(pa.struct([("product", pa.float64()), ("template", pa.int32()), ("known", pa.float64()), ("words", pa.int32()), ("whole", pa.bool_()), ("others", pa.list_(pa.struct([("term", pa.int64()), ("n", pa.int32())])))]))
             yield pa.RecordBatch.from_arrays([b["row"], b["path"], pa.array(found, kind)], ["row", "path", "spans"])
 
-    return files.select("row", "path", "text").mapInArrow(run, f"row long, path string, spans {SPANS}")
+    return files.select("row", "path", "text").mapInArrow(lean(run), f"row long, path string, spans {SPANS}")
 
 
 def term_files(files: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def term_files(files: DataFrame, wanted: DataFrame) -> DataFrame:
             term, n = np.unique(np.concatenate(held), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(n, pa.int64())], ["term", "files"])
 
-    return files.select("text").mapInArrow(run, "term long, files long").groupBy("term").agg(F.sum("files").alias("files")).join(wanted, "term", "left_semi")
+    return files.select("text").mapInArrow(lean(run), "term long, files long").groupBy("term").agg(F.sum("files").alias("files")).join(wanted, "term", "left_semi")
 
 
 def own_licences(files: DataFrame, m: Matcher) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents, shuffle_parts, stored
+from quire.llm.shared import columns, documents, lean, shuffle_parts, stored
 from quire.llm.words import shingle_hashes, utf8, word_hashes
 
 RUN = 8
@@ -174,7 +174,7 @@ def page_blocks(pages: DataFrame) -> DataFrame:
                     seen.add(of)
                 yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], b["host"], main, texts, pa.array(digest, pa.int64()), pa.array(first, pa.bool_())], ["page_id", "url", "host", "main", "text", "digest", "first"])
 
-    return pages.mapInArrow(run, "page_id long, url string, host string, main boolean, text string, digest long, first boolean")
+    return pages.mapInArrow(lean(run), "page_id long, url string, host string, main boolean, text string, digest long, first boolean")
 
 
 def with_host(pages: DataFrame) -> DataFrame:

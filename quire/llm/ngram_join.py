@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.components import connected_components
-from quire.llm.shared import columns, membership, shuffle_parts, stored
+from quire.llm.shared import columns, lean, membership, shuffle_parts, stored
 from quire.llm.words import mix, shingle_sets
 
 U64 = np.uint64
@@ -105,7 +105,7 @@ def classes(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             none = pa.nulls(PIECES, pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(PIECES), pa.int32()), pa.array([zlib.compress(np.minimum(x, 65535).astype(np.uint16).tobytes(), 1) for x in np.split(sketch, PIECES)], pa.binary())], CLASS)
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long, piece int, counts binary")
+    return docs.mapInArrow(lean(run), "doc_id long, text_hash long, n_shingles long, node long, piece int, counts binary")
 
 
 def sketch(found: DataFrame) -> np.ndarray:
@@ -160,7 +160,7 @@ def keys(docs: DataFrame, counts: np.ndarray, k: int = SHINGLE) -> DataFrame:
                     rows = 0
         yield _three(out, ["key", "node", "meta"])
 
-    return docs.mapInArrow(run, "key long, node long, meta long")
+    return docs.mapInArrow(lean(run), "key long, node long, meta long")
 
 
 def _three(out, names) -> pa.RecordBatch:
@@ -264,7 +264,7 @@ def propose(found: DataFrame) -> DataFrame:
                     yield _batch(kind, key[r], node[r], n[r], pos[r], None)
 
     parts = shuffle_parts(found.sparkSession)
-    return found.repartition(parts, "key", F.expr(f"meta & {(1 << PART_BITS) - 1}")).mapInArrow(run, PROPOSED)
+    return found.repartition(parts, "key", F.expr(f"meta & {(1 << PART_BITS) - 1}")).mapInArrow(lean(run), PROPOSED)
 
 
 def _pairs(kind: int, a, b, count, need) -> Iterator[pa.RecordBatch]:
@@ -296,7 +296,7 @@ def _led(proposed: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(key[lead]), pa.array(node[lead]), pa.array(n[lead]).cast(pa.int32())], ["key", "a", "n_a"])
 
     band = lambda n: F.floor(F.log(n) / np.log(SHARE[1] / SHARE[0]))
-    leaders = proposed.filter("kind = 2").select("key", "node", "n", "pos").repartition(shuffle_parts(proposed.sparkSession), "key").mapInArrow(run, "key long, a long, n_a int")
+    leaders = proposed.filter("kind = 2").select("key", "node", "n", "pos").repartition(shuffle_parts(proposed.sparkSession), "key").mapInArrow(lean(run), "key long, a long, n_a int")
     leaders = stored(leaders.withColumn("band", band(F.col("n_a"))))
     rows = proposed.filter("kind = 1").select("key", F.col("node").alias("b"), F.col("n").alias("n_b")).withColumn("band", band(F.col("n_b")))
     # a leader is compared with the next larger band too, so that a group across a border is one
@@ -326,7 +326,7 @@ def sets_of(docs: DataFrame, own: DataFrame, nodes: DataFrame, k: int = SHINGLE)
                     rows = []
             yield _set_rows(rows)
 
-    found = docs.mapInArrow(run, "node long, n int, fragment int, hashes binary")
+    found = docs.mapInArrow(lean(run), "node long, n int, fragment int, hashes binary")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node", "fragment"])
 
 
@@ -379,7 +379,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 out.append((a, b, both, n_a, n))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)], ["a", "b", "both", "n_a", "n_b"])
 
-    counted = dealt.mapInArrow(run, "a long, b long, both long, n_a long, n_b long")
+    counted = dealt.mapInArrow(lean(run), "a long, b long, both long, n_a long, n_b long")
     return counted.groupBy("a", "b").agg(F.sum("both").alias("both"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
 
 
@@ -524,7 +524,7 @@ def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             met.compare()
             yield met.taken()
 
-    return dealt.mapInArrow(run, DIFFERENCES)
+    return dealt.mapInArrow(lean(run), DIFFERENCES)
 
 
 def _possible(weight: np.ndarray, least: np.ndarray, base: np.ndarray) -> np.ndarray:
@@ -599,7 +599,7 @@ def _sharing(tokens: DataFrame, tiled: bool = False) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), *rest], ["kind", "a", "b", *(c for c in SHARING if c != "a")])
 
     kinds = "kind int, a long, b long, " + ", ".join(f"{c} long" for c in SHARING if c != "a")
-    return tokens.repartition(shuffle_parts(tokens.sparkSession), "token", "part").mapInArrow(run, kinds)
+    return tokens.repartition(shuffle_parts(tokens.sparkSession), "token", "part").mapInArrow(lean(run), kinds)
 
 
 def _tiles(rows: DataFrame) -> DataFrame:

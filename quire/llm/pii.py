@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents
+from quire.llm.shared import columns, documents, lean
 from quire.llm.tagger import KINDS, PAD, STRIDE, WINDOW, Tagger, codes, train
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -233,7 +233,7 @@ def personal_data(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b["doc_id"], *counts, digest, pa.array([_listed(s) for _, s in found], pa.string())], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
     kinds = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"doc_id long, {kinds}, base_sha256 string, spans string")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), f"doc_id long, {kinds}, base_sha256 string, spans string")
 
 
 def redacted(docs: DataFrame, text_col: str = "text", tagger: Tagger | None = None) -> DataFrame:
@@ -254,7 +254,7 @@ def redacted(docs: DataFrame, text_col: str = "text", tagger: Tagger | None = No
                 out.append("".join([*parts, t[at:]]) if spans else t)
             yield pa.RecordBatch.from_arrays([pa.array(out, c.type) if j == i else c for j, c in enumerate(b.columns)], names=b.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

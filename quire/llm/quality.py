@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import columns, documents, held_out, kept
+from quire.llm.shared import columns, documents, held_out, kept, lean
 from quire.llm.words import SPACE, passes, shingle_hashes, utf8, word_hashes
 
 FOLDS = 3
@@ -126,7 +126,7 @@ def _sums(rows: DataFrame, make) -> np.ndarray:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
 
-    parts = [np.frombuffer(r.s, np.float64) for r in rows.mapInArrow(run, "s binary").collect()]
+    parts = [np.frombuffer(r.s, np.float64) for r in rows.mapInArrow(lean(run), "s binary").collect()]
     return np.sum(parts, axis=0) if parts else np.zeros(0)
 
 
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "quality", sampl
     known = known.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id").select("text", "y", "half")
     # the texts are read where they lie; of the few rows of numbers left, few parts each return sums of a fixed size
-    rows = kept(texts.mapInArrow(stats, "x binary, y int, half int").repartition(8))
+    rows = kept(texts.mapInArrow(lean(stats), "x binary, y int, half int").repartition(8))
     head = _sums(rows, lambda x, y, half: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]))
     if not len(head):
         return None
@@ -192,7 +192,7 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
             s = model(statistics(b["text"])) if model else np.ones(b.num_rows)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), "doc_id long, score double, predicted int")
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -205,7 +205,7 @@ def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
             i = b.schema.get_field_index("text")
             yield b.filter(pa.array(model(statistics(b.column(i))) >= 0.5, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFrame:

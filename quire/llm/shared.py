@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -52,6 +54,18 @@ def sent_if_few(df: DataFrame, most: int = FEW_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def lean(run):
+    """`run` for a task, with the memory that it has freed handed back afterwards: a worker process goes on to other tasks."""
+
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return trimmed
+
+
 def shuffle_parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
