@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import shutil
 import uuid
 import zipfile
@@ -21,6 +22,25 @@ from pyspark.sql import DataFrame
 from quire.operators.checks import assert_none
 
 
+#: Files that are written with a line for each element.
+INDENTED = (".xml", ".opf", ".ncx", ".smil")
+
+
+def indented(xml: str) -> str:
+    """XML with each element on a line of its own, two spaces deeper than the one around it; elements with text stay on one line."""
+    out, depth, last = [], 0, ""
+    for token in filter(None, (t if t.startswith("<") else t * bool(t.strip()) for t in re.split(r"(<[^>]*>)", xml))):
+        kind = "text" if token[0] != "<" else "head" if token[1] in "?!" else "end" if token[1] == "/" else "empty" if token.endswith("/>") else "start"
+        depth -= kind == "end"
+        # an end tag closes its line if its element has only text or nothing
+        if out and kind != "text" and last != "text" and not (kind == "end" and last == "start"):
+            out.append("\n" + "  " * depth)
+        out.append(token)
+        depth += kind == "start"
+        last = kind
+    return "".join(out) + "\n"
+
+
 def versions_of(target: Path) -> Path:
     return target.with_name(f"{target.name}.versions")
 
@@ -58,7 +78,7 @@ def publish(files: DataFrame, target: str | Path, validate: Callable[[Path], Dat
     new.mkdir(parents=True)
     try:
         for r in files.select("path", "content").toLocalIterator():  # one book's files, one at a time
-            (new / r.path).write_text(r["content"], encoding="utf-8")
+            (new / r.path).write_text(indented(r["content"]) if r.path.endswith(INDENTED) else r["content"], encoding="utf-8")
         for path, source in (extra or {}).items():
             shutil.copyfile(source, new / path)
         assert_none(validate(new))

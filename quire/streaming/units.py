@@ -26,7 +26,7 @@ def token_stream(units: DataFrame) -> DataFrame:
 
     lists = [listed(c, t) for c, t in tokens()]
     keep = [c for c in units.columns if c not in ("display_text", "tts_text")]
-    return units.select(*keep, F.explode(F.array_distinct(F.concat(*lists))).alias("t")).select(*keep, "t.*")
+    return units.select(*keep, F.inline(F.array_distinct(F.concat(*lists))))
 
 
 def first_tokens(units: DataFrame, time: str, late: str = "1 hour") -> DataFrame:

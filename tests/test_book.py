@@ -255,6 +255,13 @@ def test_versions_of_a_package(spark, tmp_path):
         publish.publish(rows("x"), tmp_path / "file", fine)
 
 
+def test_indentation():
+    xml = '<?xml version="1.0"?>\n<!DOCTYPE a>\n<a b="x &gt; y"><c/><d>text &lt;</d>\n<e><f></f></e></a>\n'
+    want = '<?xml version="1.0"?>\n<!DOCTYPE a>\n<a b="x &gt; y">\n  <c/>\n  <d>text &lt;</d>\n  <e>\n    <f></f>\n  </e>\n</a>\n'
+    assert publish.indented(xml) == want == publish.indented(want)
+    assert publish.indented("<broken") == "<broken\n"
+
+
 def test_a_book_without_markers_is_a_violation(spark, tmp_path):
     page = '<html><body><p class="block_3">Chỉ có chữ.</p></body></html>'
     archive(tmp_path / "x.epub", **{"OPS/text/a b.xhtml": page, "OPS/text/0.xhtml": page})

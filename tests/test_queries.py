@@ -5,6 +5,7 @@ import os
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from quire import book_queries, queries
 
@@ -70,3 +71,19 @@ def test_streamed_units_equal_batch(spark, tmp_path):
     finally:
         q.stop()
     assert sorted(map(tuple, spark.table("tokens").collect())) == sorted(map(tuple, token_stream(spoken(rows)).collect()))
+
+
+def test_first_tokens_come_once_within_the_watermark(spark, tmp_path):
+    from quire.streaming.units import first_tokens, spoken
+
+    rows = [("a", "paragraph", "Giảm 5% ở NASA", "2024-01-01 00:00:00"), ("a", "paragraph", "NASA giảm 5%", "2024-01-01 00:10:00"), ("b", "paragraph", "NASA", "2024-01-01 00:20:00")]
+    df = spark.createDataFrame(rows, "id string, type string, display_text string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    q = first_tokens(spoken(stream), "t").writeStream.format("memory").queryName("first_tokens").option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.id, r.category, r.token) for r in spark.table("first_tokens").collect())
+    assert got == [("a", "acronym", "NASA"), ("a", "percent", "5%"), ("b", "acronym", "NASA")]
