@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import ids, text
 from quire.functions.speech import with_speech_text
 from quire.operators import audit, checks, chunks, render, structure, timeline
-from quire.sources.html import paragraphs
+from quire.sources.html import CLOSES_P, paragraphs
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -67,7 +67,15 @@ def paragraph_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("book_id", "ord", F.format_string("%d_p%04d", "book_id", n).alias("id"), F.col("text").alias("display_text"))
 
 
-@query()
+_ENDS = "|".join(sorted(CLOSES_P, key=lambda t: (-len(t), t)))
+
+
+@query(
+    rf"""WITH seg AS (SELECT page_id, unnest(x) AS s, unnest(range(len(x))) AS i FROM (SELECT page_id, regexp_split_to_array(html, '<p(?:\s[^>]*)?>') AS x FROM pages)),
+    raw AS (SELECT page_id, i, regexp_extract(s, '(?s)^(.*?)(?:</?(?:{_ENDS})(?:[\s/>]|$)|$)', 1) AS s FROM seg WHERE i > 0),
+    said AS (SELECT page_id, i, s, trim(regexp_replace(replace(nfc_normalize(replace(replace(replace(replace(regexp_replace(s, '<[^>]*>', '', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')), chr(160), ' '), '\s+', ' ', 'g')) AS text FROM raw)
+    SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS BIGINT) AS pos, '' AS classes, text, CAST(len(regexp_extract_all(s, '<img[\s/>]')) AS BIGINT) AS images FROM said WHERE text <> '' OR regexp_matches(s, '<img[\s/>]')"""
+)
 def html_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = paragraphs(table(spark, sf_dir, "pages"), "html", "page_id")
     return out.select("page_id", "pos", F.array_join("classes", " ").alias("classes"), "text", F.size("images").cast("long").alias("images"))
@@ -145,7 +153,25 @@ def audit_distinct_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.distinct_tokens(audit.issues(document_units(spark, sf_dir)))
 
 
-@query()
+SPOKEN_SQL = r"regexp_replace(regexp_replace(regexp_replace(replace(nfc_normalize(text), chr(160), ' '), '[ \t]+', ' ', 'g'), '\s+([,.;:!?])', '\1', 'g'), '^\s+|\s+$', '', 'g')"
+
+
+@query(
+    rf"""WITH RECURSIVE t AS (SELECT doc_id, {SPOKEN_SQL} AS x FROM documents),
+    s AS (SELECT doc_id, i, trim(w, chr(32) || chr(9) || chr(10) || chr(13)) AS w FROM (SELECT doc_id, unnest(l) AS w, unnest(range(len(l))) AS i FROM (SELECT doc_id, string_split(regexp_replace(x, '([.!?…])\s+', '\1' || chr(1), 'g'), chr(1)) AS l FROM t WHERE length(x) > 2500)) WHERE trim(w, chr(32) || chr(9) || chr(10) || chr(13)) <> ''),
+    cut(doc_id, i, n, piece, rest) AS (
+      SELECT doc_id, i, 0, CAST(NULL AS VARCHAR), w FROM s WHERE length(w) > 2500
+      UNION ALL SELECT doc_id, i, n + 1, trim(substr(rest, 1, e), chr(32) || chr(10)), ltrim(substr(rest, e + 1), chr(32) || chr(10)) FROM (
+        SELECT *, CASE WHEN length(rest) <= 2500 THEN length(rest) WHEN 2502 - instr(reverse(substr(rest, 1, 2501)), ' ') BETWEEN 2 AND 2501 THEN 2501 - instr(reverse(substr(rest, 1, 2501)), ' ') ELSE 2500 END AS e FROM cut WHERE rest <> '')),
+    items AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, n) AS k, size, alone FROM (
+      SELECT doc_id, i, 0 AS n, length(w) AS size, FALSE AS alone FROM s WHERE length(w) <= 2500 UNION ALL SELECT doc_id, i, n, length(piece), TRUE FROM cut WHERE piece IS NOT NULL)),
+    fold(doc_id, k, open, done, longest) AS (
+      SELECT doc_id, k, size, 0, 0 FROM items WHERE k = 1
+      UNION ALL SELECT f.doc_id, i.k, CASE WHEN NOT alone AND open + 1 + size <= 2500 THEN open + 1 + size ELSE size END, CASE WHEN NOT alone AND open + 1 + size <= 2500 THEN done ELSE done + 1 END,
+        CASE WHEN NOT alone AND open + 1 + size <= 2500 THEN longest ELSE greatest(longest, open) END FROM fold f JOIN items i ON i.doc_id = f.doc_id AND i.k = f.k + 1)
+    SELECT doc_id, CAST(CASE WHEN x = '' THEN 0 ELSE 1 END AS BIGINT) AS requests, CAST(length(x) AS BIGINT) AS longest FROM t WHERE length(x) <= 2500
+    UNION ALL SELECT doc_id, CAST(max(done) + 1 AS BIGINT), CAST(greatest(max(longest), arg_max(open, k)) AS BIGINT) FROM fold GROUP BY doc_id"""
+)
 def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = chunks.with_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
     longest = F.coalesce(F.array_max(F.transform("chunks", F.length)), F.lit(0))
