@@ -113,8 +113,9 @@ def parsed(text: Column, template: Template = TEMPLATE) -> Column:
 
 
 def with_probe(turns: DataFrame) -> DataFrame:
-    rows = [(PROBE[0], i, r, PROBE[1]) for i, r in enumerate(("user", "assistant"))]
-    return turns.unionByName(turns.sparkSession.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    two = turns.sparkSession.range(2).select(F.lit(PROBE[0]).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(PROBE[1]).alias("text"))
+    return turns.unionByName(two)
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
