@@ -2,6 +2,8 @@
 
 import hashlib
 import os
+import re
+from collections import Counter
 
 import duckdb
 import pandas as pd
@@ -9,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quire.llm import chat, licenses, main_text, mixture, queries
+from quire.llm import chat, licenses, main_text, mixture, pii, queries
+from quire.llm.tagger import KINDS, train
 from quire.llm.words import utf8, word_hashes
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -208,11 +211,12 @@ def test_pipeline(spark):
     """Each stage of a run against what its operator says on the stage's own input."""
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
-    now, kept = docs, []
+    now, kept, after = docs, [], []
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
         now = stage(spark, now, DATA).checkpoint()
         if i < 4:
             assert now.columns == docs.columns
+        after.append({r.doc_id: r for r in now.collect()})
         kept.append([r.doc_id for r in now.collect()])
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
     good = [i for i in rows if labels.get(i) == 1]
@@ -226,6 +230,33 @@ def test_pipeline(spark):
     assert sorted((r.doc_id, r.copy) for r in whole.collect()) == sorted((r.doc_id, r.copy) for r in now.collect())
 
 
+    # personal data and mixture by their definitions, on their own inputs
+    tagger = train()
+    for i, r in after[2].items():
+        text, end, want = r.text, 0, ""
+        for kind, a, b in sorted(pii.find_spans([text or ""], tagger)[0][1], key=lambda x: (x[1], -x[2])):
+            want += text[end:a] + f"<{KINDS[kind]}>" if a >= end else ""
+            end = max(end, b)
+        assert after[3][i].text == want + text[end:] and after[3][i].n_chars == len(after[3][i].text)
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for i, r in after[3].items()}
+    of = Counter()
+    for i, r in after[3].items():
+        of[r.source] += size[i]
+    order = sorted((x for x in of if x is not None)) + [x for x in of if x is None]
+    weight, full = {x: (5, 2, 1)[n % 3] for n, x in enumerate(order)}, set()
+    while True:
+        rest = [x for x in order if x not in full]
+        level = (1.5 * sum(of.values()) - sum(2 * of[x] for x in full)) / max(1, sum(weight[x] for x in rest))
+        if not (over := {x for x in rest if level * weight[x] > 2 * of[x]}):
+            break
+        full |= over
+    copies = Counter()
+    for i, r in after[3].items():
+        rate = (2.0 * of[r.source] if r.source in full else level * weight[r.source]) / max(1, of[r.source])
+        copies[i] = int(rate) + (int(hashlib.md5(f"mix-1:{i}".encode()).hexdigest()[:8], 16) / 2**32 < rate - int(rate))
+    assert Counter(kept[4]) == +copies
+
+
 def test_mixed_text_hash_is_stable(spark):
     """The draw depends on the seed and the id alone."""
     row = spark.range(1).select(mixture._unit("mix-1", F.lit(42)).alias("u")).first()
