@@ -27,30 +27,23 @@ def extract(spark: SparkSession, path: str, overrides: dict | None = None, chapt
     """books (book_id, metadata, sections), with sections, blocks and violations as rows."""
     found = epub.entries(spark, path)
     records = epub.records(epub.spine_documents(found))
-    markers = structure.chapter_markers(records, chapters)
-    sections = structure.sections(markers, structure.introductions(records, markers))
-    blocks = structure.blocks(structure.assign_sections(records, sections))
-    books = epub.book_metadata(epub.package_metadata(found), overrides).join(structure.structured_books(sections, blocks), "book_id")
-    violations = epub.epub_violations(found).union(structure.marker_violations(records, markers, chapters))
-    intro = structure.introduction_violations(records, sections)
-    return {"books": books, "sections": sections, "blocks": blocks, "violations": violations.union(intro)}
+    outlines = structure.outlined(records, chapters)
+    nested = structure.structured(outlines)
+    books = epub.book_metadata(epub.package_metadata(found), overrides).join(nested, "book_id")
+    violations = epub.epub_violations(found).union(structure.outline_violations(outlines, chapters))
+    return {"books": books, "sections": structure.sections(outlines), "blocks": structure.flattened(nested)[1], "violations": violations}
 
 
-def manifest(books: DataFrame, unit_rows: DataFrame) -> DataFrame:
-    """(book_id, metadata, sections) with the units of each section nested in order."""
-    sections, _ = structure.flattened(books)
-    u = F.struct("id", "type", "display_text", "tts_text")
-    per = unit_rows.groupBy("book_id", "section_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", u.alias("u")))), lambda x: x["u"]).alias("units"))
-    s = F.struct(F.col("section_id").alias("id"), "type", "number", "title", "subtitle", "units")
-    rows = sections.join(per, ["book_id", "section_id"], "left").groupBy("book_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("section_ord", s.alias("s")))), lambda x: x["s"]).alias("sections"))
-    return books.select("book_id", "metadata").join(rows, "book_id")
+def manifest(books: DataFrame) -> DataFrame:
+    """(book_id, metadata, sections) of nested books with units: in each section its units instead of its blocks."""
+    s = lambda s: F.struct(*[s[c].alias(c) for c in ("id", "type", "number", "title", "subtitle", "units")])
+    return books.select("book_id", "metadata", F.transform("sections", s).alias("sections"))
 
 
 def prepared(books: DataFrame, pronunciation: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Units of structured books, and the violations among them."""
-    sections, blocks = structure.flattened(books)
-    unit_rows = structure.units(sections, blocks, pronunciation)
-    return unit_rows, structure.unit_violations(sections, blocks, unit_rows)
+    unit_rows = structure.units(books, pronunciation)
+    return unit_rows, structure.unit_violations(structure.with_units(books), unit_rows)
 
 
 def dry_run(unit_rows: DataFrame, max_chars: int = 2500) -> DataFrame:
@@ -240,15 +233,14 @@ def _extract(spark: SparkSession, a) -> None:
     checks.assert_none(found["violations"])
     with _held(found["books"]) as books:
         _write_books(books, Path(a.output))
-        structure.summary(*structure.flattened(books)).show(truncate=False)
+        structure.summary(books).show(truncate=False)
 
 
 def _prepare(spark: SparkSession, source: str, output: str, pronunciation: str | None) -> None:
     books = json_source.books(spark, source)
-    sections, blocks = structure.flattened(books)
-    with _held(structure.units(sections, blocks, config.pronunciation(pronunciation) if pronunciation else None)) as rows:
-        checks.assert_none(structure.unit_violations(sections, blocks, rows))
-        publish.write_json(manifest(books, rows), output, "book_id")
+    with _held(structure.units(books, config.pronunciation(pronunciation) if pronunciation else None)) as rows:
+        checks.assert_none(structure.unit_violations(structure.with_units(books), rows))
+        publish.write_json(manifest(structure.nested_units(books, rows)), output, "book_id")
 
 
 def _audit(spark: SparkSession, source: str, output: str) -> None:
