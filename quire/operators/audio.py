@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,9 @@ Call = Callable[[str, str, str], bytes]
 Probe = Callable[[bytes], int]
 CACHE = "signature string, tts_text_sha256 string, voice string, rate string, max_chars_per_request int, duration_ms long, made_ms long, audio binary"
 
+#: Bytes of audio that a task holds before it hands them on; one request's audio at least.
+HELD = 1 << 22
+
 
 def valid_duration(duration: Column, size: Column) -> Column:
     """Milliseconds of valid audio; null for a file that is missing, empty, can't be measured, or has no length."""
@@ -62,21 +66,29 @@ def called(requests: DataFrame, call: Call, probe: Probe) -> DataFrame:
     Audio that isn't valid is a failure too, and is not handed on.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = requests.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            audio, length, error = [], [], []
-            for text, voice, rate in zip(b["text"], b["voice"], b["rate"], strict=True):
+            start, size, done = 0, 0, []
+            for i in range(b.num_rows):
+                text, voice, rate = (b[c][i].as_py() for c in ("text", "voice", "rate"))
                 try:
                     data = bytes(call(text, voice, rate))
                     ms = int(probe(data)) if data else 0
                     if ms <= 0:
                         raise ValueError("no valid audio")
-                    audio, length, error = [*audio, data], [*length, ms], [*error, None]
+                    done.append((data, ms, None))
+                    size += len(data)
                 except Exception as e:  # the detail of any failure belongs to its request
-                    audio, length, error = [*audio, None], [*length, None], [*error, f"{type(e).__name__}: {e}"]
-            yield b.assign(audio=audio, duration_ms=pd.array(length, dtype="Int64"), error=error)
-
-    return requests.mapInPandas(run, f"{requests.schema.simpleString()[7:-1].replace(':', ' ')}, audio binary, duration_ms long, error string")
+                    done.append((None, None, f"{type(e).__name__}: {e}"))
+                # audio is far larger than its text: it is handed on as it comes, not by the batch of its requests
+                if size >= HELD or i + 1 == b.num_rows:
+                    made = [pa.array(x, kind) for x, kind in zip(zip(*done, strict=True), (pa.binary(), pa.int64(), pa.string()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([*b.slice(start, len(done)).columns, *made], [*names, "audio", "duration_ms", "error"])
+                    start, size, done = i + 1, 0, []
+
+    return requests.mapInArrow(run, f"{requests.schema.simpleString()[7:-1].replace(':', ' ')}, audio binary, duration_ms long, error string")
 
 
 def call_failures(done: DataFrame) -> DataFrame:
