@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from quire import queries
+from quire import book_queries, queries  # noqa: F401  registers its queries
 from quire.operators import structure
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
